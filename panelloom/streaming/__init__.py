@@ -1,0 +1 @@
+"""Intentionally empty: every entry point of this engine is a batch job."""
