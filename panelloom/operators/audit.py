@@ -74,6 +74,27 @@ def duplicate_counts(groups: DataFrame, scope: Sequence[str], code: str) -> Data
                  F.count_if(coded).alias("codigos")))
 
 
+def key_excess(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """How many keys repeat, and how many rows are beyond the first of their key."""
+    repeated = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return repeated.agg(F.count_if(F.col("n") > 1).alias("grupos"),
+                        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("excedentes"))
+
+
+def counts_with_total(rows: DataFrame, year: str, code: str) -> DataFrame:
+    """Rows and distinct codes per year and over all years.
+
+    The total counts the union of the codes, hence no ``rollup``; both start from one
+    aggregate by year and code, so a hot code is merged before it travels.
+    """
+    pairs = rows.groupBy(year, code).agg(F.count(F.lit(1)).alias("n"))
+    coded = F.count_if(F.col(code).isNotNull()).alias("codigos")
+    yearly = pairs.groupBy(year).agg(F.sum("n").alias("linhas"), coded)
+    total = pairs.groupBy(code).agg(F.sum("n").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("linhas"), coded)
+    return (yearly.select(F.col(year).cast("string").alias(year), "linhas", "codigos")
+            .unionAll(total.select(F.lit("TOTAL").alias(year), "linhas", "codigos")))
+
+
 def history_groups(typed: DataFrame, contract: Contract = SCHOOL_RATES) -> DataFrame:
     """``content_groups`` of typed history rows with everything the audit counts."""
     columns = [c for c in typed.columns if c not in FLAGS]

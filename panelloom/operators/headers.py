@@ -144,6 +144,38 @@ def unique_names(rows: DataFrame, scope: Sequence[str], order: str, column: str,
     return rows.withColumn(name, F.when(nth == 1, F.col(column)).otherwise(F.concat(F.col(column), suffix)))
 
 
+def forward_fill_chunked(rows: DataFrame, value: Column, scope: Sequence[str], order: str, name: str,
+                         width: int = 4096) -> DataFrame:
+    """``forward_fill`` for scopes of any length: ``order`` is an integer.
+
+    A scope is cut into ranges of ``order``.  Each range is filled on its own and starts from
+    the last value of the ranges before it, of which only one row per range is looked at.
+    """
+    cut = rows.withColumns({"_chunk": F.floor(F.col(order) / width), "_value": value})
+    inside = Window.partitionBy(*scope, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*scope).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    present = F.when(F.col("_value").isNotNull(), F.col(order))
+    ends = cut.groupBy(*scope, "_chunk").agg(F.max_by("_value", present).alias("_end"))
+    starts = ends.select(*scope, "_chunk", F.last("_end", ignorenulls=True).over(before).alias("_start"))
+    filled = cut.withColumn("_inside", F.last("_value", ignorenulls=True).over(inside))
+    joined = filled.join(starts, [*scope, "_chunk"])
+    return joined.select(*rows.columns, F.coalesce("_inside", "_start").alias(name))
+
+
+def unique_names_chunked(rows: DataFrame, scope: Sequence[str], order: str, column: str, name: str,
+                         width: int = 4096) -> DataFrame:
+    """``unique_names`` for names that repeat without bound: numbered per range, ranges added up."""
+    keys = [*scope, column]
+    cut = rows.withColumn("_chunk", F.floor(F.col(order) / width))
+    sizes = cut.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*keys, "_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    numbered = cut.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy(order)))
+    nth = F.col("_nth") + F.col("_start")
+    final = F.when(nth == 1, F.col(column)).otherwise(F.concat_ws("_", column, nth.cast("string")))
+    return numbered.join(starts, [*keys, "_chunk"]).select(*rows.columns, final.alias(name))
+
+
 def rate_suffix(text: Column, position: Column) -> Column:
     """What a descriptive header says beyond its rate family."""
     for wrong, right in SUFFIX_REPAIRS.items():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,27 @@ from pyspark.sql import DataFrame, SparkSession
 from panelloom.sources import fs
 
 
-def shared_folder(spark: SparkSession, fallback: str) -> str:
-    """The folder the cluster names for checkpoints, else one beside the output."""
+def shared_folder(spark: SparkSession, fallback: str = "") -> str:
+    """The folder the cluster names for checkpoints, else the given one beside the output.
+
+    With neither, a local session gets a temporary folder; a cluster must name one.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return configured or fallback
+    if configured or fallback:
+        return configured or fallback
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("Defina spark.checkpoint.dir com uma pasta compartilhada.")
+    folder = tempfile.mkdtemp(prefix="panelloom-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def keep_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table in the shared folder, for plans that read it several times."""
+    spark = df.sparkSession
+    path = fs.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 class Scratch:
