@@ -11,21 +11,29 @@ from pyspark.sql import functions as F
 LETTERED_ESCAPES = ("0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F")
 
 
-def json_array(columns: Sequence[Column]) -> Column:
-    """Compact JSON array with lower-case escapes, NULL as ``null``."""
-    text = F.to_json(F.array(*columns))
-    lowered = text
-    for digits in LETTERED_ESCAPES:
-        # An even number of backslashes before the escape: it is not an escaped backslash.
-        lowered = F.regexp_replace(lowered, rf"(?<!\\)((?:\\\\)*)\\u00{digits}",
-                                   rf"$1\\u00{digits.lower()}")
-    return F.when(text.contains("\\u00"), lowered).otherwise(text)
-
-
-def content_id(attributes: Sequence[str]) -> Column:
-    """SHA-256 of the attribute values; NULL where the first one, the code, is NULL."""
-    columns = [F.col(a) for a in attributes]
-    return F.when(columns[0].isNotNull(), F.sha2(json_array(columns), 256))
+def lower_escapes(json: Column) -> Column:
+    """JSON text with its control-character escapes in lower case.
+
+    An escape counts only after an even number of backslashes.  Such characters hardly ever
+    occur, so everything but one substring test is skipped for nearly every row.
+    """
+    def lowered(text: Column, digits: Column) -> Column:
+        escape = F.concat(F.lit(r"(?<!\\)((?:\\\\)*)\\u00"), digits)
+        return F.regexp_replace(text, escape, F.concat(F.lit(r"$1\\u00"), F.lower(digits)))
+
+    every = F.array(*[F.lit(d) for d in LETTERED_ESCAPES])
+    return F.when(json.contains("\\u00"), F.aggregate(every, json, lowered)).otherwise(json)
+
+
+def with_content_id(rows: DataFrame, attributes: Sequence[str], name: str) -> DataFrame:
+    """Adds the SHA-256 of the attributes as a compact JSON array with NULL as ``null``.
+
+    The id is NULL where the first attribute, the code, is NULL.  The JSON text is a column of
+    its own first, as it is used more than once.
+    """
+    json = rows.withColumn("_json", F.to_json(F.array(*attributes)))
+    identity = F.sha2(lower_escapes(F.col("_json")), 256)
+    return json.withColumn(name, F.when(F.col(attributes[0]).isNotNull(), identity)).drop("_json")
 
 
 def row_signature(columns: Sequence[str]) -> Column:

@@ -1,14 +1,19 @@
-"""Text expressions.  Everything that touches data rows stays inside the JVM."""
+"""Text expressions.  Everything that touches data rows stays inside the JVM.
+
+Expressions for data cells are built as SQL text, operand and result alike: a table has dozens
+of rate columns, and one parsed expression each keeps plan building quick on the driver.
+"""
 
 from __future__ import annotations
 
 import functools
 import sys
 import unicodedata
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,13 +28,25 @@ WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
 MISSING_MARKERS = ("", "--", "-", "nan", "none", "null")
 
 
-def strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITESPACE))
+def quote(name: str) -> str:
+    """A column name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(value: str) -> str:
+    """A string as SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
+def strip(text: str) -> str:
+    """Nearly every cell starts and ends with a visible ASCII character and is left as it is;
+    only the others are searched for the whole set of white space."""
+    return (f"CASE WHEN left({text}, 1) BETWEEN '!' AND '~' AND right({text}, 1) BETWEEN '!' AND '~' "
+            f"THEN {text} ELSE btrim({text}, {literal(WHITESPACE)}) END")
 
-def blank_to_null(text: Column) -> Column:
-    stripped = strip(text)
-    return F.when(stripped != "", stripped)
+
+def blank_to_null(text: str) -> str:
+    return f"nullif({strip(text)}, '')"
 
 
 def fold_text(value: str | None) -> str:
@@ -76,11 +93,17 @@ def _marker_folding() -> tuple[str, str]:
     return "".join(sources + dropped), "".join(targets)
 
 
-def clean_cell(text: Column) -> Column:
-    """Strip a cell; NULL when what remains is a missing marker in any spelling."""
-    stripped = strip(text)
-    sources, targets = _marker_folding()
-    lowered = F.lower(stripped)
-    folded = F.when(lowered.rlike(r"[^\x00-\x7f]"),
-                    F.translate(lowered, sources, targets)).otherwise(lowered)
-    return F.when(~folded.isin(*MISSING_MARKERS), stripped)
+def clean_cells(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Strips the cells of the given columns; NULL where a missing marker in any spelling remains."""
+    sources, targets = map(literal, _marker_folding())
+    markers = ", ".join(map(literal, MISSING_MARKERS))
+
+    def cleaned(column: str) -> str:
+        cell = quote(column)
+        folded = (f"CASE WHEN {cell} RLIKE '[^\\\\x00-\\\\x7f]' THEN translate(lower({cell}), {sources}, {targets}) "
+                  f"ELSE lower({cell}) END")
+        return f"CASE WHEN {folded} NOT IN ({markers}) THEN {cell} END AS {cell}"
+
+    others = [quote(c) for c in rows.columns if c not in columns]
+    stripped = rows.selectExpr(*others, *[f"{strip(quote(c))} AS {quote(c)}" for c in columns])
+    return stripped.selectExpr(*others, *[cleaned(c) for c in columns])

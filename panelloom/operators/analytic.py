@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.contract import SCHOOL_RATES, Contract, Dimension
-from panelloom.functions.hashing import content_id
+from panelloom.functions import hashing
+from panelloom.functions.numbers import within_range
 from panelloom.operators.catalog import LAYOUTS, METRICS, alias_map
 
 
@@ -53,7 +54,7 @@ def harmonise_metrics(columns: Iterable[str], year: str) -> dict[str, str]:
 
 
 def with_content_id(rows: DataFrame, dimension: Dimension) -> DataFrame:
-    return rows.withColumn(dimension.id, content_id(dimension.attributes))
+    return hashing.with_content_id(rows, dimension.attributes, dimension.id)
 
 
 def fact_rows(history: DataFrame, contract: Contract = SCHOOL_RATES) -> DataFrame:
@@ -68,8 +69,8 @@ def fact_rows(history: DataFrame, contract: Contract = SCHOOL_RATES) -> DataFram
     names = [c for c in contract.identification if c != year]
     rows = rows.withColumn(contract.category, harmonise_category(contract.category, contract.category_names))
     rows = rows.selectExpr(year, *names, *[f"{e} AS {m}" for m, e in metrics.items()])
-    valid = f"BETWEEN {contract.lowest}D AND {contract.highest}D"
-    rows = rows.selectExpr(year, *names, *[f"CASE WHEN {m} {valid} THEN {m} END AS {m}" for m in METRICS])
+    rows = rows.selectExpr(year, *names, *[f"{within_range(m, contract.lowest, contract.highest)} AS {m}"
+                                           for m in METRICS])
     for dimension in (contract.entities, contract.places):
         rows = with_content_id(rows, dimension)
     return rows.select(year, *fact_columns(contract))
@@ -77,8 +78,9 @@ def fact_rows(history: DataFrame, contract: Contract = SCHOOL_RATES) -> DataFram
 
 def dimension_rows(rows: DataFrame, dimension: Dimension) -> DataFrame:
     """Distinct versions.  The id follows from the attributes, so whole rows are compared:
-    that keeps the aggregate free of string buffers and merges copies before the shuffle."""
-    return (rows.where(F.col(dimension.id).isNotNull())
+    that keeps the aggregate free of string buffers and merges copies before the shuffle.
+    It is NULL exactly where the code is, and the code is the cheaper one to test."""
+    return (rows.where(F.col(dimension.code).isNotNull())
             .select(dimension.id, *dimension.attributes).distinct())
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from panelloom.contract import SCHOOL_RATES, Contract
 from panelloom.functions.hashing import row_signature
-from panelloom.functions.numbers import out_of_range, total
+from panelloom.functions.numbers import flag, out_of_range, total
+from panelloom.functions.text import quote
 from panelloom.operators.typing_rules import (
     FLAGS, NUMERIC_CODE, ORDER, TEXT_CELLS, TEXT_RATE, WRONG_YEAR,
 )
@@ -39,7 +40,7 @@ def outside_domain(column: str, domain: Sequence[str]) -> Column:
 
 
 def invalid_cells(columns: Sequence[str], lowest: float, highest: float) -> Column:
-    return total([out_of_range(F.col(c), lowest, highest).cast("int") for c in columns])
+    return F.expr(total([flag(out_of_range(quote(c), lowest, highest)) for c in columns]))
 
 
 def content_groups(rows: DataFrame, keys: Sequence[str], content: Sequence[str], order: Column,
@@ -185,7 +186,7 @@ def audit_report(groups: DataFrame, contract: Contract = SCHOOL_RATES) -> DataFr
 
 def year_status(report: DataFrame, column_issues: Column | None = None) -> Column:
     """``erro`` for repeated keys, ``aviso`` for any warning counter or column issue, else ``ok``."""
-    warned = total([F.col(c) for c in WARNING_COUNTERS]) > 0
+    warned = F.expr(f"{total(WARNING_COUNTERS)} > 0")
     if column_issues is not None:
         warned = warned | column_issues
     return (F.when(F.col("duplicidades_ano_escola") > 0, "erro")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelloom.contract import SCHOOL_RATES, Contract
-from panelloom.functions.text import clean_cell, column_name, fold
+from panelloom.functions.text import clean_cells, column_name, fold, quote
 from panelloom.operators.headers import (
     HEADER_MISSING, SHEET, alias_name, choose_sheet, detect_headers, header_columns, is_audit_rate,
     map_columns, sheets_of, sheets_to_audit, sheets_to_clean, unique_names,
@@ -198,15 +198,15 @@ def standardised_rows(grid: DataFrame, layouts: DataFrame, rates: Sequence[str],
                            F.array(*[F.try_element_at("where", F.lit(n)) for n in names]).alias("positions"))
     rows = grid.join(usable, list(SHEET)).where(F.col("row_idx") > F.col("header_row"))
 
-    def cell(name: str) -> Column:
-        value = F.get("cells", F.get("positions", F.lit(names.index(name))))
-        return F.coalesce(value, F.col("file_year")) if name == contract.year else value
+    def cell(name: str) -> str:
+        value = f"get(cells, get(positions, {names.index(name)}))"
+        return f"coalesce({value}, file_year)" if name == contract.year else value
 
     provenance = dict(zip(contract.provenance, ("nome_arquivo", "caminho", "sheet"), strict=True))
-    cleaned = rows.select(
-        F.col("file_year").alias("_file_year"),
-        *[clean_cell(cell(n)).alias(n) for n in names],
-        *[clean_cell(F.col(source)).alias(target) for target, source in provenance.items()])
+    picked = rows.selectExpr(
+        "file_year AS _file_year", *[f"{cell(n)} AS {quote(n)}" for n in names],
+        *[f"{source} AS {target}" for target, source in provenance.items()])
+    cleaned = clean_cells(picked, [*names, *contract.provenance])
     return cleaned.where(F.col(contract.year).rlike(DATA_YEAR))
 
 

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelloom.contract import SCHOOL_RATES, Contract
-from panelloom.functions.numbers import parse_number, parse_rate, rate_text, total
-from panelloom.functions.text import blank_to_null, strip
+from panelloom.functions.numbers import decimal_point, flag, parse_number, total, unless_marker
+from panelloom.functions.text import literal, quote, strip
 
 # Helper columns beside the history columns; dropped before anything is written.
 ORDER = "_ordem"
@@ -20,7 +19,10 @@ WRONG_YEAR = "_ano_divergente"
 NUMERIC_CODE = "_codigo_numerico"
 FLAGS = (ORDER, TEXT_CELLS, TEXT_RATE, WRONG_YEAR, NUMERIC_CODE)
 
-_TEXT = "_texto:"
+_TEXT = "_texto_"
+_POINT = "_ponto_"
+_YEAR = "_ano_do_arquivo"
+_UNREAD = "_taxas_nao_lidas"
 
 
 def history_schema(columns: Sequence[str], contract: Contract = SCHOOL_RATES) -> T.StructType:
@@ -31,71 +33,70 @@ def history_schema(columns: Sequence[str], contract: Contract = SCHOOL_RATES) ->
     return T.StructType([T.StructField(c, data_type(c)) for c in columns])
 
 
-def _quoted(column: str) -> Column:
-    return F.col("`" + column.replace("`", "``") + "`")
-
-
-def _any(flags: list[Column]) -> Column:
-    return total([f.cast("int") for f in flags]) > 0
-
-
 def type_rows(rows: DataFrame, columns: Sequence[str], file_year: Column, order: Column,
               contract: Contract = SCHOOL_RATES) -> DataFrame:
     """Rows of files that share one schema, in the types and order of the history.
 
     Columns the files lack become NULL.  Rate text that is no number moves into a JSON
     object when the row names no entity; with an entity it is flagged as an error.
+
+    The steps are projections of their own because each result is used more than once.
     """
     source = {f.name: f.dataType for f in rows.schema.fields}
     rates = [c for c in columns if contract.is_rate(c)]
-    # Floating-point input is taken as it is; anything else goes through its text.
-    as_double = {c for c in rates if isinstance(source.get(c), (T.DoubleType, T.IntegerType, T.LongType, T.ShortType))}
+    # Floating-point and integer input is taken as it is; anything else goes through its text.
+    as_double = [c for c in rates if isinstance(source.get(c), (T.DoubleType, T.IntegerType, T.LongType, T.ShortType))]
     as_text = [c for c in rates if c in source and c not in as_double]
-
-    def plain(column: str) -> Column:
-        if column not in source:
-            return F.lit(None).cast("string")
-        return blank_to_null(_quoted(column).cast("string"))
-
-    def double(column: str) -> Column:
-        value = _quoted(column).cast("double")
-        return F.when(~F.isnan(value), value)
-
     others = [c for c in columns if c not in rates and c not in (contract.year, contract.textual_rates)]
-    numeric_codes = [_quoted(c).isNotNull() for c in contract.code_digits
+    numeric_codes = [f"{quote(c)} IS NOT NULL" for c in contract.code_digits
                      if isinstance(source.get(c), (T.NumericType, T.BooleanType))]
-    year_text = strip(_quoted(contract.year).cast("string"))
-    typed = rows.select(
-        file_year.cast("int").alias(contract.year),
-        *[plain(c).alias(c) for c in others],
-        *[double(c).alias(c) for c in rates if c in as_double],
-        *[rate_text(_quoted(c).cast("string")).alias(_TEXT + c) for c in as_text],
-        order.alias(ORDER),
-        F.coalesce(parse_number(year_text) != file_year, F.lit(True)).alias(WRONG_YEAR),
-        (_any(numeric_codes) if numeric_codes else F.lit(False)).alias(NUMERIC_CODE))
-    typed = typed.select("*", *[parse_rate(F.col(_TEXT + c)).alias(c) for c in as_text])
-
-    unread = {c: F.col(_TEXT + c).isNotNull() & F.col(c).isNull() for c in as_text}
-    has_entity = F.col(contract.entity).isNotNull()
-    count = total([flag.cast("int") for flag in unread.values()])
+
+    def plain(column: str) -> str:
+        if column not in source:
+            return f"CAST(NULL AS STRING) AS {quote(column)}"
+        return f"{strip(f'CAST({quote(column)} AS STRING)')} AS {quote(column)}"
+
+    def kept(names: Sequence[str], prefix: str = "") -> list[str]:
+        return [quote(prefix + n) for n in names]
+
+    flags = [contract.year, ORDER, WRONG_YEAR, NUMERIC_CODE]
+    located = rows.withColumns({_YEAR: file_year.cast("int"), ORDER: order})
+    stripped = located.selectExpr(
+        f"{_YEAR} AS {quote(contract.year)}", ORDER,
+        f"coalesce({parse_number(f'btrim(CAST({quote(contract.year)} AS STRING))')} <> {_YEAR}, true) AS {WRONG_YEAR}",
+        f"{' OR '.join(numeric_codes) or 'false'} AS {NUMERIC_CODE}",
+        *[plain(c) for c in others],
+        *[f"nanvl(CAST({quote(c)} AS DOUBLE), NULL) AS {quote(c)}" for c in as_double],
+        *[f"{strip(f'CAST({quote(c)} AS STRING)')} AS {quote(_TEXT + c)}" for c in as_text])
+    present = stripped.selectExpr(
+        *kept([*flags, *as_double]),
+        *[f"nullif({quote(c)}, '') AS {quote(c)}" for c in others],
+        *[f"{unless_marker(quote(_TEXT + c))} AS {quote(_TEXT + c)}" for c in as_text])
+    pointed = present.selectExpr("*", *[f"{decimal_point(quote(_TEXT + c))} AS {quote(_POINT + c)}" for c in as_text])
+    typed = pointed.selectExpr(*kept([*flags, *as_double, *others]), *kept(as_text, _TEXT),
+                               *[f"{parse_number(quote(_POINT + c))} AS {quote(c)}" for c in as_text])
+
+    unread = {c: f"({quote(_TEXT + c)} IS NOT NULL AND {quote(c)} IS NULL)" for c in as_text}
+    count = total([flag(condition) for condition in unread.values()])
+    counted = typed.selectExpr("*", f"{count} AS {_UNREAD}")
+    named = f"{quote(contract.entity)} IS NOT NULL"
     if unread:
-        entries = F.array(*[F.when(flag, F.struct(F.lit(c).alias("key"), F.col(_TEXT + c).alias("value")))
-                            for c, flag in unread.items()])
-        texts = F.when(~has_entity & (count > 0),
-                       F.to_json(F.map_from_entries(F.array_compact(entries))))
-        first_rate = F.when(has_entity & (count > 0),
-                            F.coalesce(*[F.when(flag, F.lit(c)) for c, flag in unread.items()]))
+        entries = ", ".join(f"CASE WHEN {condition} THEN struct({literal(c)} AS key, {quote(_TEXT + c)} AS value) END"
+                            for c, condition in unread.items())
+        texts = (f"CASE WHEN NOT {named} AND {_UNREAD} > 0 "
+                 f"THEN to_json(map_from_entries(array_compact(array({entries})))) END")
+        first = ", ".join(f"CASE WHEN {condition} THEN {literal(c)} END" for c, condition in unread.items())
+        first_rate = f"CASE WHEN {named} AND {_UNREAD} > 0 THEN coalesce({first}) END"
     else:
-        texts = first_rate = F.lit(None).cast("string")
+        texts = first_rate = "CAST(NULL AS STRING)"
     final = []
     for column in columns:
         if column == contract.textual_rates:
-            final.append(texts.alias(column))
+            final.append(f"{texts} AS {quote(column)}")
         elif column in rates and column not in source:
-            final.append(F.lit(None).cast("double").alias(column))
+            final.append(f"CAST(NULL AS DOUBLE) AS {quote(column)}")
         else:
-            final.append(_quoted(column))
-    return typed.select(
-        *final, ORDER,
-        F.when(has_entity, F.lit(0)).otherwise(count).cast("int").alias(TEXT_CELLS),
-        first_rate.alias(TEXT_RATE), WRONG_YEAR, NUMERIC_CODE)
+            final.append(quote(column))
+    return counted.selectExpr(
+        *final, ORDER, f"CASE WHEN {named} THEN 0 ELSE {_UNREAD} END AS {TEXT_CELLS}",
+        f"{first_rate} AS {TEXT_RATE}", WRONG_YEAR, NUMERIC_CODE)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelloom.contract import SCHOOL_RATES, Contract
 from panelloom.operators import sheets
 from panelloom.plans.scratch import Scratch
+from panelloom.session import settings
 from panelloom.sources import files, fs, reports
 
 LOGGER = logging.getLogger(__name__)
@@ -63,7 +64,7 @@ def standardise(spark: SparkSession, grid: DataFrame, inventory: DataFrame, outp
         else:
             pending[file.caminho] = (file, path)
     if pending:
-        with Scratch(spark, output) as scratch:
+        with settings(spark), Scratch(spark, output) as scratch:
             report.update(_write_years(spark, scratch, grid, inventory, pending, contract))
     rows = [report[file.caminho] for file in listed]
     table = (reports.rows_to_report(spark, rows) if rows

@@ -50,6 +50,9 @@ def panel_rows(spark: SparkSession, folder: str, per_customer: bool = False) ->
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     customers = table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     rows = order_numbers(spark, folder, per_customer).join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    # Spread evenly before the rows become wide text: order keys are unique, so no partition is
+    # hot, and a table that is one small file does not leave everything to one task.
+    rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
     key, order, year = F.col("c_custkey"), F.col("o_orderkey"), F.col("y")
     nation = F.col("n_nationkey")
     states = F.array(*[F.lit(s) for s in SCHOOL_RATES.states])

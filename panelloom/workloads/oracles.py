@@ -78,7 +78,8 @@ def panel(per_customer: bool = False) -> str:
             CASE WHEN co_entidade IS NULL AND (tap_fun LIKE 'Cab%' OR tre_fun = 'total') THEN
                 '{{' || concat_ws(',', CASE WHEN tap_fun LIKE 'Cab%' THEN '"tap_fun":"Cabeçalho \\"auxiliar\\""' END,
                                  CASE WHEN tre_fun = 'total' THEN '"tre_fun":"total"' END) || '}}' END AS taxas_textuais_origem,
-            CASE WHEN co_entidade IS NULL THEN CAST(tap_fun LIKE 'Cab%' AS INTEGER) + CAST(tre_fun = 'total' AS INTEGER)
+            CASE WHEN co_entidade IS NULL THEN
+                 coalesce(CAST(tap_fun LIKE 'Cab%' AS INTEGER), 0) + coalesce(CAST(tre_fun = 'total' AS INTEGER), 0)
                  ELSE 0 END AS textos
         FROM raw)"""
 

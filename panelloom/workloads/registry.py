@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from panelloom.contract import SCHOOL_RATES, Dimension
 from panelloom.functions.hashing import fingerprint
-from panelloom.functions.numbers import out_of_range, parse_rate, rate_text, within_range
+from panelloom.functions.numbers import decimal_point, out_of_range, parse_number, unless_marker, within_range
+from panelloom.functions.text import strip
 from panelloom.operators import analytic, audit, catalog, checks, headers, sheets, views
 from panelloom.operators.checks import CATALOGUE, COLUMNS, ENTITIES, FACT, PLACES
 from panelloom.operators.typing_rules import FLAGS
@@ -26,28 +27,32 @@ def panel_history_rows(spark: SparkSession, folder: str) -> DataFrame:
     return panel_history(spark, folder)
 
 
+def _content_groups(spark: SparkSession, folder: str, per_customer: bool = False) -> DataFrame:
+    """The narrow table all counters are taken from, written once as the plan does."""
+    return keep_table(audit.history_groups(typed_panel(spark, folder, per_customer)), "conteudos")
+
+
 def panel_audit(spark: SparkSession, folder: str) -> DataFrame:
     """All counters per year and in total."""
-    return audit.audit_report(audit.history_groups(typed_panel(spark, folder)))
+    return audit.audit_report(_content_groups(spark, folder))
 
 
 def panel_breaches(spark: SparkSession, folder: str) -> DataFrame:
     """Rows that break the input contract, with rates of other years' orders spoilt."""
-    typed = typed_panel(spark, folder)
-    return audit.contract_breaches(audit.history_groups(typed)).select(
+    return audit.contract_breaches(audit.history_groups(typed_panel(spark, folder))).select(
         "ano", "anos_divergentes", "codigos_numericos", "taxas_textuais_escola")
 
 
 def status_report(spark: SparkSession, folder: str) -> DataFrame:
     """The status of each year from its counters."""
-    report = audit.audit_by_year(audit.history_groups(typed_panel(spark, folder, per_customer=True)))
+    report = audit.audit_by_year(_content_groups(spark, folder, per_customer=True))
     return report.select("ano", "quantidade_linhas_entrada", "duplicidades_ano_escola",
                          audit.year_status(report).alias("status"))
 
 
 def status_counts(spark: SparkSession, folder: str) -> DataFrame:
     """How many years have which status."""
-    report = audit.audit_by_year(audit.history_groups(typed_panel(spark, folder)))
+    report = audit.audit_by_year(_content_groups(spark, folder))
     return audit.status_counts(report.select(audit.year_status(report).alias("status")))
 
 
@@ -185,45 +190,53 @@ def column_differences(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- sheets ----------------------------------------------------------------------------------------
 
+def _grid(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The stored cell grid and the inventory of its files."""
+    grid = keep_table(cell_grid(spark, folder), "grade")
+    return grid, files.inventory_of(grid.select(F.col("file").alias("caminho")).distinct())
+
+
 def sheet_inventory(spark: SparkSession, folder: str) -> DataFrame:
     """A1-A3: inventory rows of the derived files."""
-    return files.inventory_of(cell_grid(spark, folder).select(F.col("file").alias("caminho")).distinct())
+    return _grid(spark, folder)[1]
 
 
 def header_detect(spark: SparkSession, folder: str) -> DataFrame:
     """The header row of every sheet."""
-    return headers.detect_headers(cell_grid(spark, folder)).select("file", "sheet", "header_row", "header_note")
+    grid, _ = _grid(spark, folder)
+    return headers.detect_headers(grid).select("file", "sheet", "header_row", "header_note")
 
 
 def column_map(spark: SparkSession, folder: str) -> DataFrame:
     """The output name of every header cell."""
-    found = headers.detect_headers(cell_grid(spark, folder))
-    return headers.map_columns(headers.header_columns(found)).select("file", "sheet", "pos", "target")
+    grid, _ = _grid(spark, folder)
+    return headers.map_columns(headers.header_columns(headers.detect_headers(grid))).select("file", "sheet", "pos", "target")
 
 
 def sheet_choice(spark: SparkSession, folder: str) -> DataFrame:
     """The sheet each file is read by, and its regional sheets."""
-    return headers.choose_sheet(headers.sheets_of(cell_grid(spark, folder)))
+    grid, _ = _grid(spark, folder)
+    return headers.choose_sheet(headers.sheets_of(grid))
 
 
 def ingestion_report(spark: SparkSession, folder: str) -> DataFrame:
     """E4, E11."""
-    return sheets.ingestion_report(cell_grid(spark, folder), sheet_inventory(spark, folder))
+    return sheets.ingestion_report(*_grid(spark, folder))
 
 
 def file_audit(spark: SparkSession, folder: str) -> DataFrame:
     """D6, E12, E13, E15."""
-    return sheets.file_audit(cell_grid(spark, folder), sheet_inventory(spark, folder))
+    return sheets.file_audit(*_grid(spark, folder))
 
 
 def sheet_audit(spark: SparkSession, folder: str) -> DataFrame:
     """E14."""
-    return sheets.sheet_audit(cell_grid(spark, folder), sheet_inventory(spark, folder))
+    return sheets.sheet_audit(*_grid(spark, folder))
 
 
 def sheet_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The clean rows of all sheets under one set of columns."""
-    grid, inventory = cell_grid(spark, folder), sheet_inventory(spark, folder)
+    grid, inventory = _grid(spark, folder)
     layouts = keep_table(sheets.sheet_layouts(grid, inventory), "layouts")
     rates = sorted({row.target for row in sheets.layout_names(layouts).collect()})
     return sheets.standardised_rows(grid, layouts, rates).drop("_file_year")
@@ -285,8 +298,10 @@ def rate_parse(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("l_linenumber") == 5, F.concat(F.col("l_partkey").cast("string"), F.lit("d")))
         .otherwise(F.col("l_partkey").cast("string")).alias("texto"))
     texts = table(spark, folder, "documents").select(F.lit("documento").alias("origem"), F.col("text").alias("texto"))
-    cells = numbers.unionAll(texts).select("origem", rate_text(F.col("texto")).alias("texto"))
-    cells = cells.withColumn("valor", parse_rate(F.col("texto")))
+    cells = numbers.unionAll(texts).selectExpr("origem", f"{strip('texto')} AS texto")
+    cells = cells.selectExpr("origem", f"{unless_marker('texto')} AS texto")
+    cells = cells.selectExpr("*", f"{decimal_point('texto')} AS ponto").selectExpr(
+        "origem", "texto", f"{parse_number('ponto')} AS valor")
     textual = F.col("texto").isNotNull() & F.col("valor").isNull()
     return (cells.select("origem", F.sha2("texto", 256).alias("texto"), "valor", textual.alias("textual"))
             .groupBy("origem", "texto", "valor", "textual").agg(F.count(F.lit(1)).alias("celulas")))
@@ -294,11 +309,11 @@ def rate_parse(spark: SparkSession, folder: str) -> DataFrame:
 
 def invalid_mask(spark: SparkSession, folder: str) -> DataFrame:
     """Values above 100 counted, then set to NULL."""
-    value = F.col("l_quantity") * 2.5
-    masked = within_range(value, C.lowest, C.highest)
-    return table(spark, folder, "lineitem").groupBy("l_returnflag").agg(
-        F.count_if(out_of_range(value, C.lowest, C.highest)).alias("invalidas"),
-        F.count_if(masked.isNull()).alias("nulas"), F.max(masked).alias("maior"), F.max(value).alias("maior_origem"))
+    rows = table(spark, folder, "lineitem").select("l_returnflag", (F.col("l_quantity") * 2.5).alias("v"))
+    masked = F.expr(within_range("v", C.lowest, C.highest))
+    return rows.groupBy("l_returnflag").agg(
+        F.count_if(F.expr(out_of_range("v", C.lowest, C.highest))).alias("invalidas"),
+        F.count_if(masked.isNull()).alias("nulas"), F.max(masked).alias("maior"), F.max("v").alias("maior_origem"))
 
 
 def harmonise_category(spark: SparkSession, folder: str) -> DataFrame:
