@@ -59,8 +59,9 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def list_files(spark: SparkSession, root: str) -> list[str]:
-    """Paths of all files below ``root``, relative to it, sorted; hidden and marker files left out."""
+def list_files(spark: SparkSession, root: str, hidden: bool = False) -> list[str]:
+    """Paths of all files below ``root``, relative to it, sorted; without hidden and marker files
+    unless asked for.  Empty files are listed too, which a Spark scan would pass over."""
     target, fs = _path(spark, root)
     if not fs.exists(target):
         return []
@@ -68,7 +69,7 @@ def list_files(spark: SparkSession, root: str) -> list[str]:
     found, pending = [], fs.listFiles(target, True)
     while pending.hasNext():
         relative = pending.next().getPath().toUri().getPath()[len(base):].lstrip("/")
-        if not any(part.startswith(("_", ".")) for part in relative.split("/")):
+        if hidden or not any(part.startswith(("_", ".")) for part in relative.split("/")):
             found.append(relative)
     return sorted(found)
 
