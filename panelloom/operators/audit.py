@@ -170,12 +170,9 @@ def audit_total(groups: DataFrame, contract: Contract = SCHOOL_RATES) -> DataFra
     sums = audit_by_year(groups, contract).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS])
     entities = (groups.where(F.col(contract.entity).isNotNull()).select(contract.entity).distinct()
                 .agg(F.count(F.lit(1)).alias("quantidade_escolas")))
-    # Single-row results, tied together by a constant key.
-    key = F.lit(1).alias("k")
-    report = sums.select(key, "*").join(entities.select(key, "*"), "k")
-    report = report.join(_distinct_places(groups, [], contract).select(key, "*"), "k")
-    report = report.join(_distinct_states(groups, [], contract).select(key, "*"), "k")
-    return report.select(F.lit("TOTAL").alias(contract.year), *COUNTERS, *UNIQUES)
+    distinct = (entities, _distinct_places(groups, [], contract), _distinct_states(groups, [], contract))
+    return sums.select(F.lit("TOTAL").alias(contract.year), *COUNTERS,
+                       *[one.scalar().alias(name) for one, name in zip(distinct, UNIQUES, strict=True)])
 
 
 def audit_report(groups: DataFrame, contract: Contract = SCHOOL_RATES) -> DataFrame:

@@ -39,9 +39,8 @@ def order_numbers(spark: SparkSession, folder: str, per_customer: bool) -> DataF
     return numbers
 
 
-def _tenths(amount: Column, mark: str) -> Column:
-    whole, tenth = F.floor(amount / 10), F.pmod(amount, F.lit(10))
-    return F.concat(whole.cast("string"), F.lit(mark), tenth.cast("string"))
+def _tenths(amount: str, mark: str) -> Column:
+    return F.expr(f"concat(CAST({amount} div 10 AS STRING), '{mark}', CAST({amount} % 10 AS STRING))")
 
 
 def panel_rows(spark: SparkSession, folder: str, per_customer: bool = False) -> DataFrame:
@@ -53,13 +52,14 @@ def panel_rows(spark: SparkSession, folder: str, per_customer: bool = False) ->
     # Spread evenly before the rows become wide text: order keys are unique, so no partition is
     # hot, and a table that is one small file does not leave everything to one task.
     rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
+    rows = rows.selectExpr("*", *[f"{c} * 1000 div n AS s{c[1:]}" for c in ("n_r", "n_a", "n_n")], "qty * 25 div n AS mean")
     key, order, year = F.col("c_custkey"), F.col("o_orderkey"), F.col("y")
     nation = F.col("n_nationkey")
     states = F.array(*[F.lit(s) for s in SCHOOL_RATES.states])
     auxiliary = order % 53 == 0
     digits = F.when(key % 31 == 0, 5).otherwise(7)
-    share = {c: F.floor(F.col(c) * 1000 / F.col("n")) for c in ("n_r", "n_a", "n_n")}
-    mean = F.floor(F.col("qty") * 25 / F.col("n"))
+    share = {c: f"s{c[1:]}" for c in ("n_r", "n_a", "n_n")}
+    mean = "mean"
     recent, middle = year >= 2021, year.between(2018, 2020)
     values = {
         "ano": F.when(key % 7 == 0, F.concat(year.cast("string"), F.lit(".0"))).otherwise(year.cast("string")),

@@ -38,7 +38,7 @@ def panel_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def panel_breaches(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows that break the input contract, with rates of other years' orders spoilt."""
+    """How many rows break the input contract."""
     return audit.contract_breaches(audit.history_groups(typed_panel(spark, folder))).select(
         "ano", "anos_divergentes", "codigos_numericos", "taxas_textuais_escola")
 
@@ -428,9 +428,9 @@ def unique_names(spark: SparkSession, folder: str) -> DataFrame:
 def fingerprint_check(spark: SparkSession, folder: str) -> DataFrame:
     """A table and a rearranged copy have one fingerprint; one changed row gives another."""
     lines = table(spark, folder, "lineitem")
-    first_key = lines.agg(F.min("l_orderkey").alias("menor"))
-    changed = lines.join(F.broadcast(first_key), F.lit(True), "left").withColumn(
-        "l_tax", F.when(F.col("l_orderkey") == F.col("menor"), F.col("l_tax") + 1).otherwise(F.col("l_tax"))).drop("menor")
+    first_key = lines.agg(F.min("l_orderkey")).scalar()
+    changed = lines.withColumn(
+        "l_tax", F.when(F.col("l_orderkey") == first_key, F.col("l_tax") + 1).otherwise(F.col("l_tax")))
     names = ["linhas", "paridade", "soma", "soma_reforco"]
 
     def marks(rows: DataFrame, suffix: str) -> DataFrame:
