@@ -87,8 +87,9 @@ def reconcile_counts(spark: SparkSession, folder: str) -> DataFrame:
 def _star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The star as closed tables, as the publication steps read it."""
     fact = keep_table(panel_fact(spark, folder), "fato")
-    return {FACT: fact, ENTITIES: analytic.dimension_rows(fact, C.entities),
-            PLACES: analytic.dimension_rows(fact, C.places), CATALOGUE: catalog.metric_catalogue(spark)}
+    return {FACT: fact, ENTITIES: keep_table(analytic.dimension_rows(fact, C.entities), "escolas"),
+            PLACES: keep_table(analytic.dimension_rows(fact, C.places), "municipios"),
+            CATALOGUE: catalog.metric_catalogue(spark)}
 
 
 def star_checks(spark: SparkSession, folder: str) -> DataFrame:
