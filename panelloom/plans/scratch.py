@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,16 +12,10 @@ from panelloom.sources import fs
 def shared_folder(spark: SparkSession, fallback: str = "") -> str:
     """The folder the cluster names for checkpoints, else the given one beside the output.
 
-    With neither, a local session gets a temporary folder; a cluster must name one.
+    With neither, a folder beside the session's tables: the warehouse is shared by definition.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if configured or fallback:
-        return configured or fallback
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("Defina spark.checkpoint.dir com uma pasta compartilhada.")
-    folder = tempfile.mkdtemp(prefix="panelloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return configured or fallback or fs.join(spark.conf.get("spark.sql.warehouse.dir"), "_panelloom")
 
 
 def keep_table(df: DataFrame, name: str) -> DataFrame:
