@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.llm import mixing, sharding, url_filter
+from panelloom.llm.classifier import op5_quality_classifier
 from panelloom.llm.common import table
+from panelloom.llm.quality_rules import op2_quality_rules
 
 
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
@@ -59,5 +61,6 @@ SELECT page_id, host, path, CASE {rule} END AS rule,
 FROM parts"""
 
 
-QUERIES = {"op3_mixing": op3_mixing, "op7_sharding": op7_sharding, "op6_url_filter": op6_url_filter}
+QUERIES = {"op2_quality_rules": op2_quality_rules, "op3_mixing": op3_mixing,
+           "op5_quality_classifier": op5_quality_classifier, "op7_sharding": op7_sharding, "op6_url_filter": op6_url_filter}
 ORACLES = {"op6_url_filter": _url_sql()}
