@@ -65,7 +65,7 @@ def shingle_hashes(words: np.ndarray, length: int) -> np.ndarray:
 
 def record(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], names=schema.names)
 
 
 def in_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
@@ -94,3 +94,55 @@ def gapless_rank(df: DataFrame, order: list[Column], name: str, step: str) -> Da
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value`` with the value computed once per row, however often it is used."""
     return F.transform(F.array(value), body)[0]
+
+
+MEMBER_BITS = 23
+
+
+def member_bits(df: DataFrame, key: str) -> np.ndarray:
+    """A bit set of fixed size (1 MB) with the bit of every value of ``key``, as bytes or a number.
+
+    Only a filter in front of an exact join: values outside can share a bit, no value loses its own.
+    """
+    bit = F.pmod(F.xxhash64(F.lit(3), key), F.lit(1 << MEMBER_BITS))
+    words = (df.select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("v")).collect())
+    out = np.zeros(1 << (MEMBER_BITS - 6), np.int64)
+    for w, v in words:
+        out[w] = v
+    return out
+
+
+def with_member_bit(df: DataFrame, key: str) -> DataFrame:
+    """Adds `_bit`, the number of the bit of ``key`` in ``member_bits``."""
+    return df.withColumn("_bit", F.pmod(F.xxhash64(F.lit(3), key), F.lit(1 << MEMBER_BITS)))
+
+
+def is_member(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    return (bits[numbers >> 6] >> (numbers & 63)) & 1 == 1
+
+
+def connected_components(edges: DataFrame, name: str) -> DataFrame:
+    """(node, component) of undirected ``edges`` (a, b); a component is named by its smallest node.
+
+    Alternates the two star steps until nothing changes.  Each is a minimum per node and a join, so a
+    node with very many links is pre-aggregated and its rows stay spread; every round is a written table.
+    """
+    now = keep_table(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{name}-0")
+    before, turn = None, 0
+    while True:
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.where("u <> v").distinct()
+        small_least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = (large.join(small_least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .unionByName(small_least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        turn += 1
+        now = keep_table(small, f"{name}-{turn}")
+        state = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v").cast("long"))).first())
+        if state == before:
+            break
+        before = state
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
