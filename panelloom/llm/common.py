@@ -99,12 +99,25 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 MEMBER_BITS = 23
 
 
-def member_bits(df: DataFrame, key: str) -> np.ndarray:
-    """A bit set of fixed size (1 MB) with the bit of every value of ``key``, as bytes or a number.
+def id_bit(key: str) -> Column:
+    """The number of the bit of an id."""
+    return F.pmod(F.xxhash64(F.lit(3), key), F.lit(1 << MEMBER_BITS))
 
-    Only a filter in front of an exact join: values outside can share a bit, no value loses its own.
+
+def digest_bit(key: str) -> Column:
+    """The number of the bit of a binary digest: its first bits, so that Python finds it alike."""
+    return F.conv(F.hex(F.substring(key, 1, 3)), 16, 10).cast("long") % (1 << MEMBER_BITS)
+
+
+def bit_of_digest(digest: bytes) -> int:
+    return int.from_bytes(digest[:3], "big") % (1 << MEMBER_BITS)
+
+
+def member_bits(df: DataFrame, bit: Column) -> np.ndarray:
+    """A bit set of fixed size (1 MB) with the bits of all rows.
+
+    Only a filter in front of an exact join: a value outside can share a bit, no value loses its own.
     """
-    bit = F.pmod(F.xxhash64(F.lit(3), key), F.lit(1 << MEMBER_BITS))
     words = (df.select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("v")).collect())
     out = np.zeros(1 << (MEMBER_BITS - 6), np.int64)
@@ -113,11 +126,6 @@ def member_bits(df: DataFrame, key: str) -> np.ndarray:
     return out
 
 
-def with_member_bit(df: DataFrame, key: str) -> DataFrame:
-    """Adds `_bit`, the number of the bit of ``key`` in ``member_bits``."""
-    return df.withColumn("_bit", F.pmod(F.xxhash64(F.lit(3), key), F.lit(1 << MEMBER_BITS)))
-
-
 def is_member(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return (bits[numbers >> 6] >> (numbers & 63)) & 1 == 1
 

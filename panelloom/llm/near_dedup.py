@@ -10,8 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import (connected_components, hashes, in_arrow, is_member, keep_table, member_bits, mixed,
-                                  record, shingle_hashes, table, text_chunks, with_member_bit)
+from panelloom.llm.common import (connected_components, hashes, id_bit, in_arrow, is_member, keep_table, member_bits, mixed,
+                                  record, shingle_hashes, table, text_chunks)
 
 SHINGLE, PERCENT = 5, 75
 BANDS, ROWS = 32, 4
@@ -43,7 +43,7 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     for turn in range(2 * t):
         if not len(elements):
             break
-        thrown = mixed(elements + np.uint64(turn + 1) * np.uint64(0xD6E8FEB86659FD93))
+        thrown = mixed(elements + np.uint64((turn + 1) * 0xD6E8FEB86659FD93 & (1 << 64) - 1))
         bins = (thrown >> np.uint64(64 - BIN_BITS)).astype(np.int64) if turn < t else turn - t
         np.minimum.at(out, owner * t + bins, (thrown & low) | np.uint64(turn << 56))
         open_sets = (out.reshape(-1, t) == np.iinfo(np.uint64).max).any(axis=1)
@@ -89,7 +89,7 @@ def _set_table(docs: DataFrame, bits: np.ndarray) -> DataFrame:
             for rows, texts in text_chunks([wanted]):
                 yield record(schema, [rows.column(0), [shingle_set(t).tobytes() for t in texts]])
 
-    return in_arrow(with_member_bit(docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()), "doc_id"), run,
+    return in_arrow(docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", id_bit("doc_id")), run,
                     f"id {dict(docs.dtypes)['doc_id']}, shingles binary")
 
 
@@ -166,7 +166,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     members = keep_table(nodes.join(buckets.select("band", "leader"), "band"), "dedup-members")
     pairs = keep_table(members.where("id > leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct(), "dedup-pairs")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = keep_table(_set_table(docs, member_bits(wanted, "id")).dropDuplicates(["id"]), "dedup-sets")
+    sets = keep_table(_set_table(docs, member_bits(wanted, id_bit("id"))).dropDuplicates(["id"]), "dedup-sets")
     links = keep_table(_verified(pairs, sets, percent), "dedup-links")
     first = keep_table(connected_components(links, "dedup-star"), "dedup-components")
     placed = (members.join(first.withColumnRenamed("node", "id"), "id", "left")

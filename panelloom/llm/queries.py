@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from panelloom.llm import mixing, sharding, url_filter
 from panelloom.llm.classifier import op5_quality_classifier
 from panelloom.llm.common import table
+from panelloom.llm.decontaminate import op8_decontaminate
+from panelloom.llm.hmm import op1_language_model
 from panelloom.llm.near_dedup import op4_near_dedup
 from panelloom.llm.quality_rules import op2_quality_rules
 
@@ -62,7 +64,8 @@ SELECT page_id, host, path, CASE {rule} END AS rule,
 FROM parts"""
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op3_mixing": op3_mixing,
+QUERIES = {"op1_language_model": op1_language_model, "op2_quality_rules": op2_quality_rules, "op3_mixing": op3_mixing,
            "op4_near_dedup": op4_near_dedup,
-           "op5_quality_classifier": op5_quality_classifier, "op7_sharding": op7_sharding, "op6_url_filter": op6_url_filter}
+           "op5_quality_classifier": op5_quality_classifier, "op7_sharding": op7_sharding,
+           "op8_decontaminate": op8_decontaminate, "op6_url_filter": op6_url_filter}
 ORACLES = {"op6_url_filter": _url_sql()}
