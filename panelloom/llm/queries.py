@@ -13,6 +13,7 @@ from panelloom.llm.hmm import op1_language_model
 from panelloom.llm.near_dedup import op4_near_dedup
 from panelloom.llm.pii import op10_pii
 from panelloom.llm.quality_rules import op2_quality_rules
+from panelloom.llm.suffix_dedup import op9_suffix_dedup
 
 
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,5 +69,5 @@ FROM parts"""
 QUERIES = {"op1_language_model": op1_language_model, "op2_quality_rules": op2_quality_rules, "op3_mixing": op3_mixing,
            "op4_near_dedup": op4_near_dedup,
            "op5_quality_classifier": op5_quality_classifier, "op7_sharding": op7_sharding,
-           "op8_decontaminate": op8_decontaminate, "op10_pii": op10_pii, "op6_url_filter": op6_url_filter}
+           "op8_decontaminate": op8_decontaminate, "op9_suffix_dedup": op9_suffix_dedup, "op10_pii": op10_pii, "op6_url_filter": op6_url_filter}
 ORACLES = {"op6_url_filter": _url_sql()}
