@@ -86,12 +86,13 @@ def score_text(text: bytes, weights: np.ndarray, ratio: np.ndarray, bias: float,
     return float(1 / (1 + np.exp(-scale * margin)))
 
 
-def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
-    """doc_id, held_out, score and predicted for every row of ``docs``; only the text is an input of a score.
+def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, held_out, score, predicted and the ``carried`` columns of every row of ``docs``.
 
-    The model is fitted on at most ``per_class`` labelled documents of each label, none of them held
-    out.  With labels of one kind only, or none, every score is 1.  Texts without words, empty and NULL
-    ones get the model's constant part.  Repeated rows get equal results; further columns are ignored.
+    Only the text is an input of a score.  The model is fitted on at most ``per_class`` labelled documents of each
+    label, none of them held out.  With labels of one kind only, or none, every score is 1.  Texts
+    without words, empty and NULL ones get the model's constant part.  Repeated rows get equal results;
+    columns that are neither named here nor carried are ignored.
     """
     ids, counts = label_sample(labels, per_class)
     sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
@@ -114,16 +115,18 @@ def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
         model = (scaled.astype(np.float32), ratio.astype(np.float32), bias, scale)
     modulus, held = HELD_OUT
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
+    kinds = dict(docs.dtypes)
+    names = ["doc_id", "held_out", *carried]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in text_chunks(batches):
+        for rows, texts in text_chunks(batches, column="_text"):
             scores = [score_text(t, *shared.value) if shared.value else 1.0 for t in texts]
-            yield record(out, [rows.column(0), rows.column(1), scores, [int(s >= 0.5) for s in scores]])
+            yield pa.RecordBatch.from_arrays([*rows.columns[1:], pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())],
+                                             names=[*names, "score", "predicted"])
 
-    id_kind = dict(docs.dtypes)["doc_id"]
-    return in_arrow(docs.select("doc_id", (bucket_of_id(modulus) == held).alias("held_out"), "text"), run,
-                    f"doc_id {id_kind}, held_out boolean, score double, predicted int")
+    chosen = docs.select(F.col("text").alias("_text"), "doc_id", (bucket_of_id(modulus) == held).alias("held_out"), *carried)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in carried)
+    return in_arrow(chosen, run, f"doc_id {kinds['doc_id']}, held_out boolean, " + (schema + ", " if schema else "") + "score double, predicted int")
 
 
 def log_count_ratio(rows: list[np.ndarray], y: np.ndarray, bits: int = BITS) -> np.ndarray:

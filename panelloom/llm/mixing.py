@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,9 +91,9 @@ def apportioned_sources(sources: DataFrame, block: int) -> DataFrame:
             .withColumn("seats", F.col("sure") + F.coalesce("extra", F.lit(0))).drop("sure", "most", "extra"))
 
 
-def mix(docs: DataFrame, block: int = BLOCK, slices: int = SLICES, seed: int = SEED, repeats: int = MOST_REPEATS,
+def mix(docs: DataFrame, carried: Sequence[str] = ("doc_id",), block: int = BLOCK, slices: int = SLICES, seed: int = SEED, repeats: int = MOST_REPEATS,
         weights: int = WEIGHTS, size: Column | None = None) -> DataFrame:
-    """The rows with `size`, `source_size`, `target`, `taken` and `from_word`.
+    """The ``carried`` columns with `size`, `source_size`, `target` and `taken`.
 
     Sources by code point (NULL last, the empty name a source like others) weigh 1, 2, .. ``weights``
     and repeat.  Targets are cut into blocks of ``block`` words, dealt to sources and then to
@@ -102,17 +104,22 @@ def mix(docs: DataFrame, block: int = BLOCK, slices: int = SLICES, seed: int = S
     and the last, partial copy starts at word 0.
 
     A text without words, or NULL, has size 0 and takes nothing.  Rows with equal ids are separate rows.
-    Sources without words have target 0.  Columns of the input with the names above are replaced.
+    Sources without words have target 0.  Columns that are not
+    carried are ignored, and carried ones with the names above are replaced.
     """
     made = ("size", "source_size", "target", "taken")
-    plain = [c for c in docs.columns if c not in made]
+    plain = [c for c in carried if c not in made]
     size = word_count("text") if size is None else size
-    rows = docs.select(*[c for c in plain if c != "text"], size.alias("size"),
+    rows = docs.select(*plain, F.col("doc_id").alias("_id"), size.alias("size"),
                        # A struct keeps NULL a source of its own, after all names.
                        F.struct(F.col("source").isNull().alias("missing"), F.coalesce("source", F.lit("")).alias("name")).alias("_source"),
                        F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_draw"))
     rows = keep_table(rows.withColumn("_slice", F.pmod(F.col("_draw"), F.lit(slices))), "mix-rows")
     per_slice = keep_table(rows.groupBy("_source", "_slice").agg(F.sum("size").alias("slice_size")), "mix-slices")
+    return _placed(rows, per_slice, plain, block, repeats, weights)
+
+
+def _placed(rows: DataFrame, per_slice: DataFrame, plain: list[str], block: int, repeats: int, weights: int) -> DataFrame:
     sources = per_slice.groupBy("_source").agg(F.sum("slice_size").alias("source_size"))
     ranked = gapless_rank(sources, [F.col("_source")], "_place", "mix-sources")
     weighed = keep_table(ranked.select("_source", "source_size", (F.col("_place") % weights + 1).alias("weight")), "mix-weights")
@@ -120,10 +127,10 @@ def mix(docs: DataFrame, block: int = BLOCK, slices: int = SLICES, seed: int = S
     quotas = apportioned_slices(per_slice.join(targets.select("_source", "seats", "source_size", "target"), "_source"))
     words = F.least(F.col("quota") * block, repeats * F.col("slice_size"))
     lines = quotas.select("_source", "_slice", "slice_size", "source_size", "target", words.alias("_words"))
-    along = Window.partitionBy("_source", "_slice").orderBy("_draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    along = Window.partitionBy("_source", "_slice").orderBy("_draw", "_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.withColumn("_end", F.sum("size").over(along)).join(lines, ["_source", "_slice"])
     rounds = F.when(F.col("slice_size") > 0, F.floor(F.col("_words") / F.col("slice_size"))).otherwise(0).cast("long")
     rest = F.col("_words") - rounds * F.col("slice_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - (F.col("_end") - F.col("size"))))
-    return placed.select(*[c for c in plain if c != "text"], "size", "source_size", "target",
+    return placed.select(*plain, "size", "source_size", "target",
                          (rounds * F.col("size") + part).cast("long").alias("taken"))
