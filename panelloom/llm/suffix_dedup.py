@@ -30,7 +30,7 @@ from panelloom.llm.common import MULTIPLIER, in_arrow, keep_table, mixed, record
 LENGTH, ANCHOR = 50, 20
 WINDOWS = LENGTH - ANCHOR + 1
 BLOCK_BYTES = 2 << 20
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 2 << 20
 _LAST = np.iinfo(np.int64).max
 _BYTE_NAMES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -43,21 +43,22 @@ def _unpack(cell, kind=np.uint8) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(cell), kind)
 
 
-def names(data: np.ndarray, lengths: Iterable[int]) -> dict[int, np.ndarray]:
-    """The names of all strings of the given lengths, each formed from two names at an offset."""
-    known = {1: _BYTE_NAMES[data]}
+def names(data: np.ndarray, length: int) -> np.ndarray:
+    """The names of all strings of the length, each formed from two names at an offset.
 
-    def name(length: int) -> np.ndarray:
-        if length not in known:
-            half = 1 << ((length - 1).bit_length() - 1)
-            part = name(half)
-            n = len(data) - length + 1
-            power = np.uint64(pow(int(MULTIPLIER), half, 1 << 64))
-            # Parts that overlap do no harm: the pair still stands for the whole string.
-            known[length] = part[:n] * power + part[length - half:length - half + n] if n > 0 else np.empty(0, np.uint64)
-        return known[length]
-
-    return {length: mixed(name(length)) for length in lengths}
+    The last pair may overlap: it still stands for the whole string.
+    """
+    n = len(data) - length + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    known, width = _BYTE_NAMES[data], 1
+    while width < length:
+        offset = min(width, length - width)
+        power = np.uint64(pow(int(MULTIPLIER), width, 1 << 64))
+        first = known[:len(known) - offset] * power
+        first += known[offset:]
+        known, width = first, width + offset
+    return mixed(known)
 
 
 def stretches(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +70,7 @@ def stretches(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     if n <= 0:
         return np.empty(0, np.uint8), np.empty(0, np.uint8)
     place_bits = np.uint64(max(1, int(len(data)).bit_length()))
-    packed = (names(data, [ANCHOR])[ANCHOR] >> place_bits << place_bits) | np.arange(len(data) - ANCHOR + 1, dtype=np.uint64)
+    packed = (names(data, ANCHOR) >> place_bits << place_bits) | np.arange(len(data) - ANCHOR + 1, dtype=np.uint64)
     width = 1
     while 2 * width <= WINDOWS:
         packed = np.minimum(packed[:-width], packed[width:])
@@ -216,7 +217,7 @@ def first_documents(data: np.ndarray, counts: np.ndarray, docs: np.ndarray) -> n
     begin = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(counts)), counts)
     places = begin[owner] + np.arange(len(owner)) - (np.cumsum(counts) - counts)[owner]
-    known = names(data, [32])[32]
+    known = names(data, 32)
     doc = docs[owner]
     again = np.zeros(len(owner), bool)
     left = np.arange(len(owner))
@@ -304,7 +305,7 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     document as far as "smaller" goes, and each has its own result; a NULL doc_id comes after all
     others.  Further columns of the input are ignored; an empty table gives no rows.
 
-    A task holds one block (2 MB, or one longer text) or one bucket.  A bucket gets a content at most
+    A task holds one block (2 MB, or one longer text) or one bucket (the shared stretches of 2 MB of text).  A bucket gets a content at most
     once per block, however many documents repeat it.
     """
     blocks = keep_table(block_table(docs), "repeats-blocks")
