@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -137,23 +138,38 @@ class Block:
         last = np.append(first[1:], len(rank)) - 1
         return rank[first], doc[first] != doc[last] if len(first) else np.empty(0, bool)
 
-    def shared(self, buckets: int, replies: list[dict]) -> tuple[np.ndarray, dict[bytes, tuple[int, int]]]:
-        """The stretches with a shared anchor, and their distinct contents with the smallest document
-        and the first stretch that has it."""
+    def shared(self, buckets: int, replies: list[dict]) -> Shared:
+        """The stretches with a shared anchor and their distinct contents."""
         ranks, known = self.distinct()
-        bucket = bucket_of(ranks, buckets)
         known = known.copy()
-        for reply in replies or []:
-            mine = np.flatnonzero(bucket == reply["bucket"])
-            known[mine] |= np.unpackbits(_unpack(reply["bits"]), count=len(mine)).astype(bool)
+        bucket = bucket_of(ranks, buckets)
+        order = np.argsort(bucket, kind="stable")
+        ends = np.searchsorted(bucket[order], [[r["bucket"], r["bucket"] + 1] for r in replies or []]) if replies else []
+        for reply, (low, high) in zip(replies or [], ends):
+            known[order[low:high]] |= np.unpackbits(_unpack(reply["bits"]), count=high - low).astype(bool)
         chosen = np.flatnonzero(known[np.searchsorted(ranks, self.rank)]) if len(ranks) else np.empty(0, np.int64)
-        contents: dict[bytes, tuple[int, int]] = {}
-        for i, b, n, doc in zip(chosen.tolist(), self.begin[chosen].tolist(), self.counts[chosen].tolist(), self.doc[chosen].tolist()):
-            content = self.data[b:b + n + LENGTH - 1]
-            old = contents.get(content)
-            if old is None or doc < old[0]:
-                contents[content] = (doc, i if old is None else old[1])
-        return chosen, contents
+        places: dict[bytes, int] = {}
+        data = self.data
+        ends_of = self.begin[chosen] + self.counts[chosen] + LENGTH - 1
+        which = np.fromiter((places.setdefault(data[b:e], len(places)) for b, e in zip(self.begin[chosen].tolist(), ends_of.tolist())),
+                            np.int64, len(chosen))
+        smallest = np.full(len(places), _LAST)
+        np.minimum.at(smallest, which, self.doc[chosen])
+        first = np.full(len(places), len(self.counts), np.int64)
+        np.minimum.at(first, which, chosen)
+        return Shared(chosen, which, list(places), smallest, first)
+
+
+@dataclass
+class Shared:
+    """Numbers of the stretches with a shared anchor and the content of each; per distinct content its
+    bytes, the block's smallest document with it, and the first stretch that has it."""
+
+    chosen: np.ndarray
+    which: np.ndarray
+    contents: list[bytes]
+    smallest: np.ndarray
+    first: np.ndarray
 
 
 def bucket_of(ranks: np.ndarray, buckets: int) -> np.ndarray:
@@ -197,10 +213,8 @@ def _ask_stretches(blocks: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 block = Block(*(batch.column(c)[i] for c in range(1, 6)))
-                _, contents = block.shared(buckets, batch.column(6)[i].as_py())
-                first = np.fromiter((s for _, s in contents.values()), np.int32, len(contents))
-                docs = np.fromiter((d for d, _ in contents.values()), np.int64, len(contents))
-                texts = list(contents)
+                shared = block.shared(buckets, batch.column(6)[i].as_py())
+                first, docs, texts = shared.first.astype(np.int32), shared.smallest, shared.contents
                 bucket = bucket_of(block.rank[first], buckets)
                 order = np.lexsort((block.rank[first], bucket))
                 used, begin = np.unique(bucket[order], return_index=True)
@@ -249,27 +263,33 @@ def _rank_stretches(asked: pa.Table) -> pa.Table:
                      "again": pa.array([_pack(np.packbits(b)) for b in bits], pa.binary())})
 
 
-def removed_bytes(block: Block, replies: list[dict], chosen: np.ndarray, contents: dict[bytes, tuple[int, int]]) -> np.ndarray:
+def removed_bytes(block: Block, replies: list[dict], shared: Shared) -> np.ndarray:
     """Which bytes of the block are removed."""
-    bits: dict[int, np.ndarray] = {}
+    # The starts of the asked contents, one after the other in the order of the replies.
+    content_of = np.full(len(block.counts) + 1, -1, np.int64)
+    content_of[shared.first] = np.arange(len(shared.first))
+    offset = np.full(len(shared.first), -1, np.int64)
+    flags, total = [], 0
     for reply in replies or []:
-        which = _unpack(reply["stretches"], np.int32)
-        sizes = block.counts[which]
-        flags = np.unpackbits(_unpack(reply["again"]), count=int(sizes.sum())).astype(bool)
-        bits.update(zip(which.tolist(), np.split(flags, np.cumsum(sizes)[:-1])))
+        stretch = _unpack(reply["stretches"], np.int32)
+        sizes = block.counts[stretch]
+        offset[content_of[stretch]] = total + np.cumsum(sizes) - sizes
+        total += int(sizes.sum())
+        flags.append(np.unpackbits(_unpack(reply["again"]), count=int(sizes.sum())).astype(bool))
+    again = np.concatenate([*flags, np.zeros(1, bool)])
+    begin, counts = block.begin[shared.chosen], block.counts[shared.chosen]
     edges = np.zeros(len(block.data) + 1, np.int64)
-    places = []
-    for i, b, n, doc in zip(chosen.tolist(), block.begin[chosen].tolist(), block.counts[chosen].tolist(), block.doc[chosen].tolist()):
-        smallest, first = contents[block.data[b:b + n + LENGTH - 1]]
-        flags = bits.get(first)
-        if doc > smallest:
-            places.append(np.arange(b, b + n))
-        elif flags is not None and flags.any():
-            places.append(b + np.flatnonzero(flags))
-    if places:
-        starts = np.concatenate(places)
-        np.add.at(edges, starts, 1)
-        np.add.at(edges, starts + LENGTH, -1)
+    # A content that a smaller document of the block has goes as a whole.
+    whole = block.doc[shared.chosen] > shared.smallest[shared.which]
+    np.add.at(edges, begin[whole], 1)
+    np.add.at(edges, begin[whole] + counts[whole] + LENGTH - 1, -1)
+    part = np.flatnonzero(~whole & (offset[shared.which] >= 0))
+    owner = np.repeat(part, counts[part])
+    inner = np.arange(len(owner)) - np.repeat(np.cumsum(counts[part]) - counts[part], counts[part])
+    gone = again[offset[shared.which[owner]] + inner]
+    starts = (begin[owner] + inner)[gone]
+    np.add.at(edges, starts, 1)
+    np.add.at(edges, starts + LENGTH, -1)
     return np.cumsum(edges)[:-1] > 0
 
 
@@ -281,8 +301,7 @@ def _results(blocks: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 block = Block(*(batch.column(c)[i] for c in range(1, 6)))
-                chosen, contents = block.shared(buckets, batch.column(6)[i].as_py())
-                gone = removed_bytes(block, batch.column(7)[i].as_py(), chosen, contents)
+                gone = removed_bytes(block, batch.column(7)[i].as_py(), block.shared(buckets, batch.column(6)[i].as_py()))
                 data = np.frombuffer(block.data, np.uint8)
                 nulls = batch.column(8)[i].values.to_numpy(zero_copy_only=False)
                 rows, at = [], 0
