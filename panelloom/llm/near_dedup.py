@@ -16,6 +16,7 @@ from panelloom.llm.common import (connected_components, hashes, id_bit, in_arrow
 SHINGLE, PERCENT = 5, 75
 BANDS, ROWS = 32, 4
 BIN_BITS = 7
+MARKS = [f"mark{i}" for i in range(16)]
 COORDINATES = BANDS * ROWS
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -113,12 +114,32 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return in_arrow(both, run, f"a {kinds['a']}, b {kinds['b']}")
 
 
+def _parity_bitmaps(rows: DataFrame) -> DataFrame:
+    """(id, the words of its parity bitmap)."""
+    schema = pa.schema([("id", pa.int64()), *[(m, pa.int64()) for m in MARKS]])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = np.zeros((batch.num_rows, 64 * len(MARKS)), np.uint8)
+            for i in range(batch.num_rows):
+                place = mixed(np.frombuffer(batch.column(1)[i].as_buffer(), np.uint64)) % np.uint64(bits.shape[1])
+                bits[i] = np.bincount(place.astype(np.int64), minlength=bits.shape[1]) & 1
+            yield record(schema, [batch.column(0), *np.packbits(bits, axis=1, bitorder="little").view(np.int64).T])
+
+    return in_arrow(rows.select("id", "shingles"), run, f"id {dict(rows.dtypes)['id']}, " + ", ".join(f"{m} long" for m in MARKS))
+
+
 def _prefix_pairs(undecided: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of documents of different components that share one of their rarest shingles.
 
     With any common order of shingles, two sets this similar share one of the first
     n - ceil(n * percent / 100) + 1 of each.  Rarest first keeps common passages out of the groups.
     Shingles that only documents of one component have make no pair.
+
+    Documents edited from one template share such a shingle without being similar enough.  Each set has
+    a parity bitmap: a bit is set if an odd number of its shingles hash to it.  Bits that differ bound
+    the number of shingles that only one of the two has from below, so the bitmaps refuse most of those
+    pairs inside the join, and none that is similar.
     """
     schema = pa.schema([("id", pa.int64()), ("component", pa.int64()), ("n", pa.int64()), ("shingle", pa.int64())])
 
@@ -137,9 +158,13 @@ def _prefix_pairs(undecided: DataFrame, sets: DataFrame, percent: int) -> DataFr
     reach = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     prefix = (rows.join(common, "shingle").withColumn("place", place).where((F.col("place") <= reach) & (F.col("low") < F.col("high")))
               .select("id", "component", "n", "shingle"))
-    prefix = keep_table(prefix, "dedup-prefixes")
-    other = prefix.select(F.col("id").alias("b"), F.col("component").alias("component_b"), F.col("n").alias("n_b"), "shingle")
-    fits = (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")) & (F.col("component") < F.col("component_b"))
+    prefix = keep_table(prefix.join(_parity_bitmaps(undecided.select("id").distinct().join(sets, "id")), "id"), "dedup-prefixes")
+    other = prefix.select(F.col("id").alias("b"), F.col("component").alias("component_b"), F.col("n").alias("n_b"), "shingle",
+                          *[F.col(m).alias(f"{m}_b") for m in MARKS])
+    apart = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}_b"))) for m in MARKS), F.lit(0))
+    # Similar sets have at most (100 - percent) / (100 + percent) of both sizes apart.
+    fits = ((100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")) & (F.col("component") < F.col("component_b"))
+            & ((100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("n_b"))))
     return prefix.join(other, "shingle").where(fits).select(F.col("id").alias("a"), "b").distinct()
 
 
