@@ -107,3 +107,9 @@ def clean_cells(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     others = [quote(c) for c in rows.columns if c not in columns]
     stripped = rows.selectExpr(*others, *[f"{strip(quote(c))} AS {quote(c)}" for c in columns])
     return stripped.selectExpr(*others, *[cleaned(c) for c in columns])
+
+
+def padded(number: Column, width: Column | int) -> Column:
+    """A number as text with leading zeros; a longer one stays whole, where `lpad` alone would cut it."""
+    text = number.cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, F.lit("0"))).otherwise(text)

@@ -82,10 +82,9 @@ def metric_catalogue(spark: SparkSession) -> DataFrame:
 def match_catalogue(rows: DataFrame, catalogue: DataFrame, year: str, alias: str) -> DataFrame:
     """Long-form rows joined to the catalogue row of their alias valid in their year.
 
-    The catalogue has a fixed number of rows, hence the broadcast; equality on the alias
-    keeps it a hash join.
+    Equality on the alias keeps it a hash join; the optimizer knows the catalogue's size.
     """
-    entry = F.broadcast(catalogue)
+    entry = catalogue
     on = ((rows[alias] == entry["codigo_original"])
           & rows[year].between(entry["ano_inicio"], entry["ano_fim"]))
     return rows.join(entry, on, "inner")

@@ -144,6 +144,14 @@ def unique_names(rows: DataFrame, scope: Sequence[str], order: str, column: str,
     return rows.withColumn(name, F.when(nth == 1, F.col(column)).otherwise(F.concat(F.col(column), suffix)))
 
 
+def _null_safe_join(rows: DataFrame, starts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every row meets the one start of its range; NULL scopes, names and positions are ranges of their own."""
+    on = rows[keys[0]].eqNullSafe(starts[keys[0]])
+    for key in keys[1:]:
+        on = on & rows[key].eqNullSafe(starts[key])
+    return rows.join(starts, on)
+
+
 def forward_fill_chunked(rows: DataFrame, value: Column, scope: Sequence[str], order: str, name: str,
                          width: int = 4096) -> DataFrame:
     """``forward_fill`` for scopes of any length: ``order`` is an integer.
@@ -154,12 +162,12 @@ def forward_fill_chunked(rows: DataFrame, value: Column, scope: Sequence[str], o
     cut = rows.withColumns({"_chunk": F.floor(F.col(order) / width), "_value": value})
     inside = Window.partitionBy(*scope, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*scope).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    present = F.when(F.col("_value").isNotNull(), F.col(order))
+    present = F.when(F.col("_value").isNotNull(), F.coalesce(F.col(order), F.lit(-(1 << 62))))
     ends = cut.groupBy(*scope, "_chunk").agg(F.max_by("_value", present).alias("_end"))
     starts = ends.select(*scope, "_chunk", F.last("_end", ignorenulls=True).over(before).alias("_start"))
     filled = cut.withColumn("_inside", F.last("_value", ignorenulls=True).over(inside))
-    joined = filled.join(starts, [*scope, "_chunk"])
-    return joined.select(*rows.columns, F.coalesce("_inside", "_start").alias(name))
+    joined = _null_safe_join(filled, starts, [*scope, "_chunk"])
+    return joined.select(*[filled[c] for c in rows.columns], F.coalesce("_inside", "_start").alias(name))
 
 
 def unique_names_chunked(rows: DataFrame, scope: Sequence[str], order: str, column: str, name: str,
@@ -172,8 +180,9 @@ def unique_names_chunked(rows: DataFrame, scope: Sequence[str], order: str, colu
     starts = sizes.select(*keys, "_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     numbered = cut.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy(order)))
     nth = F.col("_nth") + F.col("_start")
-    final = F.when(nth == 1, F.col(column)).otherwise(F.concat_ws("_", column, nth.cast("string")))
-    return numbered.join(starts, [*keys, "_chunk"]).select(*rows.columns, final.alias(name))
+    final = F.when(nth == 1, numbered[column]).otherwise(F.concat(numbered[column], F.lit("_"), nth.cast("string")))
+    joined = _null_safe_join(numbered, starts, [*keys, "_chunk"])
+    return joined.select(*[numbered[c] for c in rows.columns], final.alias(name))
 
 
 def rate_suffix(text: Column, position: Column) -> Column:

@@ -14,7 +14,7 @@ def short_message(error: Exception) -> str:
     """First line of an error; of a JVM error the line that names its cause."""
     java = getattr(error, "java_exception", None)
     text = java.getMessage() if java is not None else str(error)
-    return (text or type(error).__name__).strip().splitlines()[0][:500]
+    return (text or type(error).__name__).strip().splitlines()[0]
 
 
 def _path(spark: SparkSession, path: str):

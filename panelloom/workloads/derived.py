@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.contract import SCHOOL_RATES
+from panelloom.functions.text import padded
 from panelloom.operators.typing_rules import FLAGS, type_rows
 
 RATES = ["tap_fun", "tap_f58", "tap_f04", "tap_fun_ai", "tap_fun_af", "tre_fun", "tre_mns", "tre_med_ns",
@@ -69,7 +70,7 @@ def panel_rows(spark: SparkSession, folder: str, per_customer: bool = False) ->
         "no_municipio": F.concat(F.lit("Município "), nation.cast("string"), F.lit("-"), (key % 40).cast("string"),
                                  F.when((year >= 2018) & (key % 40 < 10), " Novo").otherwise("")),
         "co_entidade": F.when(~auxiliary, F.concat(F.when(key % 37 == 0, "ABC").otherwise(""),
-                                                   F.lpad(key.cast("string"), 8, "0"))),
+                                                   padded(key, 8))),
         "no_entidade": F.concat("c_name", F.when((year >= 2019) & (key % 3 == 0), " B").otherwise(" ")),
         "tipoloca": F.when(key % 2 == 0, "Urbana").otherwise("Rural"),
         "dependad": F.when(F.col("c_mktsegment") == "HOUSEHOLD", "Particular")

@@ -50,7 +50,7 @@ def panel(per_customer: bool = False) -> str:
             'Município ' || n_nationkey || '-' || (c_custkey % 40)
                 || CASE WHEN y >= 2018 AND c_custkey % 40 < 10 THEN ' Novo' ELSE '' END AS no_municipio,
             CASE WHEN NOT ({aux}) THEN CASE WHEN c_custkey % 37 = 0 THEN 'ABC' ELSE '' END
-                 || lpad(CAST(c_custkey AS VARCHAR), 8, '0') END AS co_entidade,
+                 || CASE WHEN length(CAST(c_custkey AS VARCHAR)) < 8 THEN lpad(CAST(c_custkey AS VARCHAR), 8, '0') ELSE CAST(c_custkey AS VARCHAR) END END AS co_entidade,
             c_name || CASE WHEN y >= 2019 AND c_custkey % 3 = 0 THEN ' B' ELSE '' END AS no_entidade,
             CASE WHEN c_custkey % 2 = 0 THEN 'Urbana' ELSE 'Rural' END AS tipoloca,
             CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'Particular' WHEN 'MACHINERY' THEN 'Estadual'

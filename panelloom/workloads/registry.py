@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelloom.contract import SCHOOL_RATES, Dimension
 from panelloom.functions.hashing import fingerprint
 from panelloom.functions.numbers import decimal_point, out_of_range, parse_number, unless_marker, within_range
-from panelloom.functions.text import strip
+from panelloom.functions.text import padded, strip
 from panelloom.operators import analytic, audit, catalog, checks, headers, sheets, views
 from panelloom.operators.checks import CATALOGUE, COLUMNS, ENTITIES, FACT, PLACES
 from panelloom.operators.typing_rules import FLAGS
@@ -327,7 +327,7 @@ def harmonise_category(spark: SparkSession, folder: str) -> DataFrame:
 def code_format(spark: SparkSession, folder: str) -> DataFrame:
     """Missing and malformed codes, values outside a domain."""
     key = F.col("c_custkey")
-    code = F.when(key % 13 != 0, F.lpad(key.cast("string"), F.when(key % 10 == 0, 6).otherwise(8), F.lit("0")))
+    code = F.when(key % 13 != 0, padded(key, F.when(key % 10 == 0, 6).otherwise(8)))
     segment = F.when(key % 19 != 0, F.col("c_mktsegment"))
     rows = table(spark, folder, "customer").select("c_nationkey", code.alias("codigo"), segment.alias("segmento"))
     return rows.groupBy("c_nationkey").agg(

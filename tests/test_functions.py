@@ -110,3 +110,20 @@ def test_fingerprint_ignores_order_and_sees_changes(spark):
     swapped = spark.createDataFrame([("a", None)], "a string, b string")
     assert fingerprint(swapped, "t").first() != fingerprint(spark.createDataFrame([(None, "a")], "a string, b string"), "t").first()
     assert fingerprint(frame.where("false"), "t").first().linhas == 0
+
+
+def test_padding_keeps_longer_numbers(spark):
+    from panelloom.functions.text import padded
+    rows = spark.createDataFrame([(7,), (12345678,), (100000001,), (None,)], "k long")
+    assert [r[0] for r in rows.select(padded(rows["k"], 8)).collect()] == ["00000007", "12345678", "100000001", None]
+
+
+def test_chunked_forms_keep_rows_with_nulls(spark):
+    from pyspark.sql import functions as F
+
+    from panelloom.operators.headers import forward_fill, forward_fill_chunked, unique_names, unique_names_chunked
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 2, None), (None, 3, "x"), (None, 5000, None), ("a", None, "z"), ("a", 9000, "x"), (None, 9001, "x")],
+                                 "s string, o long, v string")
+    for plain, chunked in ((forward_fill(rows, F.col("v"), ["s"], "o", "out"), forward_fill_chunked(rows, F.col("v"), ["s"], "o", "out")),
+                           (unique_names(rows, ["s"], "o", "v", "out"), unique_names_chunked(rows, ["s"], "o", "v", "out"))):
+        assert sorted(map(str, plain.collect())) == sorted(map(str, chunked.collect()))
