@@ -118,8 +118,13 @@ def contract_breaches(groups: DataFrame, contract: Contract = SCHOOL_RATES) -> D
     return (groups.groupBy(contract.year)
             .agg(F.sum(F.when(F.col(WRONG_YEAR), rows).otherwise(0)).alias("anos_divergentes"),
                  F.sum(F.when(F.col(NUMERIC_CODE), rows).otherwise(0)).alias("codigos_numericos"),
-                 F.sum(F.when(F.col(TEXT_RATE) != "", rows).otherwise(0)).alias("taxas_textuais_escola"),
-                 F.min(F.when(F.col(TEXT_RATE) != "", F.col(TEXT_RATE))).alias("primeira_taxa_textual")))
+                 F.sum(F.when(F.col(TEXT_RATE) != "", rows).otherwise(0)).alias("taxas_textuais_escola")))
+
+
+def first_text_rates(groups: DataFrame, contract: Contract = SCHOOL_RATES) -> DataFrame:
+    """Per year, the first rate with text in a known entity; only offending contents are grouped."""
+    return (groups.where(F.col(TEXT_RATE) != "").groupBy(contract.year)
+            .agg(F.min(TEXT_RATE).alias("primeira_taxa_textual")))
 
 
 def _tally(groups: DataFrame, scope: list[str], contract: Contract) -> DataFrame:

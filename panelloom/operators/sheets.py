@@ -189,11 +189,13 @@ def standardised_rows(grid: DataFrame, layouts: DataFrame, rates: Sequence[str],
                       contract: Contract = SCHOOL_RATES) -> DataFrame:
     """Data rows of all sheets under one set of columns, as clean text.
 
-    The cell positions are resolved once per sheet; a data row only picks cells by index.
+    The cell positions are resolved once per sheet; a data row only picks cells by index.  A sheet whose
+    names still collide has no such positions: it is an error, not left out.
     """
     names = [*contract.identification, *rates]
     where = F.map_from_entries(F.transform("targets", lambda t: F.struct(t["target"], t["pos"])))
-    usable = layouts.where(~F.col("repeated")).withColumn("where", where)
+    collision = F.raise_error(F.concat(F.lit(f"{NOTE_REPEATED} "), F.concat_ws(" / ", *SHEET)))
+    usable = layouts.withColumn("where", F.when(F.col("repeated"), collision).otherwise(where))
     usable = usable.select(*SHEET, "header_row", F.col("ano").alias("file_year"), "nome_arquivo", "caminho",
                            F.array(*[F.try_element_at("where", F.lit(n)) for n in names]).alias("positions"))
     rows = grid.join(usable, list(SHEET)).where(F.col("row_idx") > F.col("header_row"))

@@ -220,6 +220,9 @@ _SHEET_IDS = ["no_regiao", "sg_uf", "co_municipio", "no_municipio", "co_entidade
 _ID_VALUES = ", ".join(f"{_clean('r_name' if c == 'no_regiao' else c)} AS {c}" for c in _SHEET_IDS)
 _FILE = "'rendimento_escolas_' || y || '.xlsx' AS fonte_arquivo, file AS fonte_caminho, sheet AS fonte_aba"
 
+_TEXTS = """SELECT 'documents/' || doc_id AS caminho, doc_id AS chave, text AS texto FROM documents
+    UNION ALL SELECT 'pages/' || page_id, page_id, html FROM pages"""
+
 ORACLES = {
     "panel_history": f"""{panel()}
         SELECT ano, {", ".join(HISTORY_TEXT)}, {", ".join(RATES)}, fonte_arquivo, fonte_caminho, fonte_aba,
@@ -446,4 +449,11 @@ ORACLES = {
             row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_custkey) AS n FROM customer)
         SELECT c_custkey, c_nationkey, c_mktsegment, c_mktsegment || CASE WHEN n > 1 THEN '_' || n ELSE '' END AS nome FROM r""",
     "fingerprint": """SELECT 'lineitem' AS tabela, count(*) AS linhas, TRUE AS copia_igual, FALSE AS alterada_igual FROM lineitem""",
+    "content_manifest": f"""SELECT caminho, strlen(texto) AS tamanho, sha256(texto) AS sha256 FROM ({_TEXTS})""",
+    "content_changes": f"""WITH t AS ({_TEXTS}),
+        a AS (SELECT caminho, sha256(texto) AS h FROM t WHERE chave % 13 <> 0),
+        d AS (SELECT caminho, sha256(CASE WHEN chave % 11 = 0 THEN texto || '#' ELSE texto END) AS h FROM t WHERE chave % 17 <> 0)
+        SELECT coalesce(a.caminho, d.caminho) AS caminho, a.h AS sha256_antes, d.h AS sha256_depois
+        FROM a FULL JOIN d ON a.caminho = d.caminho
+        WHERE a.caminho IS NULL OR d.caminho IS NULL OR a.h IS DISTINCT FROM d.h""",
 }

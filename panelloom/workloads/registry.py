@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ from panelloom.sources import files
 from panelloom.workloads.derived import RATES, cell_grid, panel_history, table, typed_panel
 
 C = SCHOOL_RATES
+GIVEN_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+                "conversations").split()
 
 
 # --- the yearly panel, typed, audited and turned into a star -------------------------------------
@@ -445,8 +449,32 @@ def fingerprint_check(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def file_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """Size, time and hash of every file."""
-    return files.file_manifest(spark, folder)
+    """Size, time and content hash of every part file of the tables."""
+    listed = [files.table_manifest(spark, f"{folder}/{name}.parquet") for name in GIVEN_TABLES]
+    return reduce(DataFrame.unionAll, listed)
+
+
+def _text_hashes(spark: SparkSession, folder: str) -> DataFrame:
+    def hashed(name: str, key: str, text: str) -> DataFrame:
+        return table(spark, folder, name).select(
+            F.concat(F.lit(f"{name}/"), F.col(key).cast("string")).alias("caminho"), key, F.col(text).alias("texto"))
+
+    return hashed("documents", "doc_id", "text").withColumnRenamed("doc_id", "chave").unionAll(hashed("pages", "page_id", "html"))
+
+
+def content_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """J1 over contents: length and hash of every document and page."""
+    return _text_hashes(spark, folder).select(
+        "caminho", F.octet_length("texto").cast("long").alias("tamanho"), F.sha2("texto", 256).alias("sha256"))
+
+
+def content_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """What appeared, vanished or changed between two versions of the documents and pages."""
+    rows, key = _text_hashes(spark, folder), F.col("chave")
+    changed = F.when(key % 11 == 0, F.concat("texto", F.lit("#"))).otherwise(F.col("texto"))
+    return files.manifest_changes(
+        rows.where(key % 13 != 0).select("caminho", F.sha2("texto", 256).alias("sha256")),
+        rows.where(key % 17 != 0).select("caminho", F.sha2(changed, 256).alias("sha256")))
 
 
 QUERIES = {
@@ -468,4 +496,5 @@ QUERIES = {
     "null_safe_match": null_safe_match, "attr_agreement": attr_agreement, "publish_diff": publish_diff,
     "multiset_equal": multiset_equal, "union_layouts": union_layouts, "forward_fill": forward_fill,
     "unique_names": unique_names, "fingerprint": fingerprint_check, "file_manifest": file_manifest,
+    "content_manifest": content_manifest, "content_changes": content_changes,
 }

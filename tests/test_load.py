@@ -80,22 +80,29 @@ def test_control_mismatch(spark, tmp_path, change):
         load.capture(spark, str(origin), str(control))
 
 
-def test_manifest_of_small_and_large_files(spark, tmp_path):
-    import hashlib
-    for name, size in (("a.bin", 10), ("b.bin", 5000)):
-        (tmp_path / name).write_bytes(bytes(i % 251 for i in range(size)))
-    whole = files.file_manifest(spark, str(tmp_path))
-    rows = {r.caminho: r for r in whole.collect()}
-    assert rows[str(tmp_path / "b.bin")].sha256 == hashlib.sha256((tmp_path / "b.bin").read_bytes()).hexdigest()
-    assert files.file_manifest(spark, str(tmp_path), limit=100).select("caminho", "tamanho", "sha256").exceptAll(
-        whole.select("caminho", "tamanho", "sha256")).count() == 0
-    before = spark.createDataFrame(list(rows.values()), whole.schema)
-    (tmp_path / "b.bin").write_bytes(b"alterado")
-    (tmp_path / "c.bin").write_bytes(b"novo")
-    changed = files.manifest_changes(before, files.file_manifest(spark, str(tmp_path)))
-    assert sorted(r.caminho.split("/")[-1] for r in changed.collect()) == ["b.bin", "c.bin"]
+def test_manifest_follows_content_per_file(spark, tmp_path):
+    """A row moved within its file is no change; a changed value, a NULL that changes columns or a new file is."""
+    def write(name, rows):
+        spark.createDataFrame(rows, "a string, b string").coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        return str(tmp_path / name)
+
+    before = files.table_manifest(spark, write("uma tabela", [("x", None), ("y", "z")]))
+    same, other = (files.table_manifest(spark, write(n, rows)) for n, rows in (
+        ("outra", [("y", "z"), ("x", None)]), ("trocada", [(None, "x"), ("y", "z")])))
+    first = before.first()
+    assert "uma" in first.caminho and len(first.sha256) == 64 and first.tamanho > 0
+    assert same.first().sha256 == first.sha256 != other.first().sha256
+    kept = spark.createDataFrame(before.collect(), before.schema)
+    assert files.manifest_changes(kept, before).isEmpty()
+    load.require_unchanged(kept, before)
+    after = files.table_manifest(spark, write("uma tabela", [("novo", "n")]))
+    change = files.manifest_changes(kept, after).collect()
+    assert [(c.sha256_antes, c.sha256_depois is None) for c in change] == [(None, False)]
     with pytest.raises(checks.CheckFailed, match="mudou"):
-        load.require_unchanged(before, files.file_manifest(spark, str(tmp_path)))
+        load.require_unchanged(kept, after)
+    unhashed = spark.createDataFrame([("f", None)], "caminho string, sha256 string")
+    assert files.manifest_changes(unhashed, unhashed).isEmpty()
+    assert files.manifest_changes(unhashed, unhashed.where("false")).count() == 1
 
 
 def test_success_repeat_failure_and_shrinking(spark, tmp_path, monkeypatch):
