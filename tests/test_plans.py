@@ -58,3 +58,17 @@ def test_no_cross_joins_in_load_checks(spark, fact):
     tables = staged_tables({**star, checks.CATALOGUE: metric_catalogue(spark)})
     text = plan(checks.load_checks(tables, metric_catalogue(spark)))
     assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_breach_counts_need_no_sort(spark):
+    """Counts only in the buffers: many contents of a year stay in a hash aggregate."""
+    groups = audit.history_groups(derived.typed_panel(spark, FOLDER))
+    text = plan(audit.contract_breaches(groups).groupBy().count()) + plan(audit.contract_breaches(groups))
+    assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_row_positions_stay_in_hash_aggregates(spark):
+    """The first position of a content is a decimal, which a hash aggregate can update in place."""
+    rows = spark.range(10).selectExpr("id % 3 AS k", "CAST(id AS DECIMAL(38,0)) AS o")
+    text = plan(rows.groupBy("k").min("o"))
+    assert "HashAggregate" in text and "SortAggregate" not in text
