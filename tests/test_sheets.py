@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from panelloom.operators import headers, sheets
 from panelloom.plans import consolidate, standardise
-from panelloom.sources import files, grid as grid_source, reports
+from panelloom.sources import files, fs, grid as grid_source, reports
 
 RAW = "dados/rendimento_escolar"
 
@@ -175,6 +175,16 @@ def test_colliding_names_fail_that_file_only(spark, tmp_path):
     assert [r["status"] for r in rows] == ["erro", "ok"]
 
 
+def test_colliding_sheet_is_an_error_not_left_out(spark):
+    grid = grid_of(spark, (NEW, "ESCOLAS", 0, [["cabeçalho"], ["2024"]]))
+    layouts = spark.createDataFrame(
+        [(NEW, "ESCOLAS", 0, "2024", "tx_2024.xlsx", NEW, [("ano", 0), ("ano", 0)], True)],
+        "file string, sheet string, header_row int, ano string, nome_arquivo string, caminho string, "
+        "targets array<struct<target string, pos int>>, repeated boolean")
+    with pytest.raises(fs.SPARK_ERRORS, match="repetidos"):
+        sheets.standardised_rows(grid, layouts, ["tap_fun"]).collect()
+
+
 def test_flow_from_sheets_to_star(spark, tmp_path):
     raw = tmp_path / RAW
     raw.mkdir(parents=True)
