@@ -104,14 +104,21 @@ def test_rate_rule(spark, value, bad):
     assert checks.count_violations(frame, checks.rate_rules(["tap_fun"])).first().divergencias == bad
 
 
-def test_schema_is_strict():
-    expected = checks.fact_schema()
-    assert checks.schema_problems(T.StructType(expected.fields[::-1]), expected) == []
-    extra = T.StructType([*expected.fields, T.StructField("tap_nova", T.DoubleType())])
-    assert "Schema" in checks.schema_problems(extra, expected)[0]
-    number = T.StructType([T.StructField(f.name, T.LongType() if f.name == "co_entidade" else f.dataType)
-                           for f in expected.fields])
-    assert "texto" in checks.schema_problems(number, expected)[0]
+def test_schema_differences_by_kind():
+    expected = T.StructType().add("codigo", "string").add("taxa", "double").add("nome", "string")
+    cases = {
+        "nome string, taxa double, codigo string": {},
+        "codigo string, taxa double": {"em falta": ["nome"]},
+        "codigo string, taxa double, nome string, nova int": {"a mais": ["nova"]},
+        "codigo bigint, taxa double, nome string": {"de outro tipo": ["codigo (bigint, não string)"]},
+        "codigo string, taxa double, nome string, nome string": {"repetidas": ["nome"]},
+        "taxa string": {"em falta": ["codigo", "nome"], "de outro tipo": ["taxa (string, não double)"]},
+    }
+    for columns, different in cases.items():
+        found = T.StructType()
+        for column in columns.split(", "):
+            found = found.add(*column.split())
+        assert checks.schema_differences(found, expected) == different, columns
 
 
 def test_shrinkage():

@@ -49,8 +49,8 @@ def published(spark, tmp_path):
 
 
 def test_missing_products(spark, tmp_path):
-    with pytest.raises(checks.CheckFailed, match="Produtos"):
-        load.product_paths(spark, str(tmp_path))
+    with pytest.raises(checks.CheckFailed, match="dim_municipios.*taxas.*relatorio_consolidacao"):
+        load.require_present(spark, str(tmp_path), str(tmp_path))
     (tmp_path / "relatorios").mkdir()
     result = run(spark, tmp_path)
     assert result["status"] == "falha" and result["commit_confirmado"] is False
@@ -140,7 +140,7 @@ def test_success_repeat_failure_and_shrinking(spark, tmp_path, monkeypatch):
     shutil.rmtree(tmp_path / "origem/taxas/ano=2023", ignore_errors=True)
     register(spark, tmp_path / "origem", tmp_path / "relatorios")
     fourth = run(spark, tmp_path)
-    assert fourth["status"] == "falha" and "Redução" in fourth["mensagem_erro"], fourth
+    assert fourth["status"] == "falha" and "redução de ano 2023" in fourth["mensagem_erro"], fourth
     load.register_views(spark, str(tmp_path / "banco"))
     view = spark.sql("SELECT ano, co_municipio FROM vw_fato_rendimento_escolar ORDER BY ano").collect()
     assert [tuple(r) for r in view] == [(2023, "0012345"), (2024, "0012345")]
@@ -157,29 +157,52 @@ def test_interrupted_run_is_closed(spark, tmp_path):
     assert old.status == load.INTERRUPTED and old.fim is not None and not old.carga_ativa
 
 
-def test_publish_rolls_back(spark, tmp_path, monkeypatch):
-    for name in ("novo1", "novo2", "antigo1", "antigo2"):
-        (tmp_path / name).write_text(name)
+@pytest.mark.parametrize("lost", [False, True])
+def test_interrupted_publication_is_taken_back(spark, tmp_path, monkeypatch, lost):
+    """After any number of moves, by an error or with the driver lost, all places are as before."""
     move = publish.fs.rename
-
-    def failing(session, source, target):
-        if source.endswith("novo2"):
-            raise OSError("falha simulada")
-        move(session, source, target)
-
-    monkeypatch.setattr(publish.fs, "rename", failing)
-    pairs = [(str(tmp_path / f"novo{i}"), str(tmp_path / f"antigo{i}")) for i in (1, 2)]
-    with pytest.raises(OSError):
-        publish.publish(spark, pairs, str(tmp_path / "backup"))
-    assert {n: (tmp_path / n).read_text() for n in ("antigo1", "antigo2", "novo1")} == {
-        "antigo1": "antigo1", "antigo2": "antigo2", "novo1": "novo1"}
-
-
-def test_partition_year():
-    assert yearly.partition_year("x/ano=2024/p.parquet") == 2024
-    for path in ("x/p.parquet", "ano=2023/ano=2024/p.parquet", "ano=24/p.parquet"):
-        with pytest.raises(ValueError):
-            yearly.partition_year(path)
+    places = {"novo": "livre", "outro": "ocupado"}
+    for moves in range(1, 4):
+        home = tmp_path / str(moves)
+        home.mkdir()
+        for name in ("novo", "outro", "ocupado"):
+            (home / name).write_text(name)
+        journal = str(home / "diario.json")
+        done = []
+
+        def failing(session, source, target):
+            if lost and len(done) > moves:
+                raise KeyboardInterrupt
+            if len(done) == moves:
+                done.append(source)
+                raise KeyboardInterrupt if lost else OSError("falha simulada")
+            move(session, source, target)
+            done.append(source)
+
+        monkeypatch.setattr(publish.fs, "rename", failing)
+        with pytest.raises(KeyboardInterrupt if lost else OSError):
+            publish.publish(spark, {str(home / new): str(home / target) for new, target in places.items()}, journal)
+        monkeypatch.undo()
+        assert publish.recover(spark, journal) is lost
+        left = {p.name: p.read_text() for p in home.iterdir() if not p.name.startswith(".")}
+        assert left == ({"ocupado": "ocupado"} if lost else {n: n for n in ("novo", "outro", "ocupado")})
+        assert not publish.recover(spark, journal)
+
+
+def test_publication_needs_all_artefacts(spark, tmp_path):
+    (tmp_path / "ocupado").write_text("x")
+    with pytest.raises(OSError, match="ausente"):
+        publish.publish(spark, {str(tmp_path / "ausente"): str(tmp_path / "ocupado")}, str(tmp_path / "diario.json"))
+    assert (tmp_path / "ocupado").read_text() == "x"
+
+
+def test_fact_files_name_one_year(spark, tmp_path):
+    root = tmp_path / "ano=1/taxas"
+    spark.createDataFrame([(1, 2024)], "v int, ano int").write.partitionBy("ano").parquet(str(root))
+    assert [tuple(r) for r in yearly.read_fact(spark, str(root)).collect()] == [(1, 2024)]
+    spark.createDataFrame([(2, None)], "v int, ano int").write.mode("append").partitionBy("ano").parquet(str(root))
+    with pytest.raises(ValueError, match="HIVE_DEFAULT"):
+        yearly.read_fact(spark, str(root))
 
 
 def test_canonical_place(spark):
