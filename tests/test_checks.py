@@ -109,8 +109,8 @@ def test_schema_differences_by_kind():
     cases = {
         "nome string, taxa double, codigo string": {},
         "codigo string, taxa double": {"em falta": ["nome"]},
-        "codigo string, taxa double, nome string, nova int": {"a mais": ["nova"]},
-        "codigo bigint, taxa double, nome string": {"de outro tipo": ["codigo (bigint, não string)"]},
+        "codigo string, taxa double, nome string, nova integer": {"a mais": ["nova"]},
+        "codigo long, taxa double, nome string": {"de outro tipo": ["codigo (bigint, não string)"]},
         "codigo string, taxa double, nome string, nome string": {"repetidas": ["nome"]},
         "taxa string": {"em falta": ["codigo", "nome"], "de outro tipo": ["taxa (string, não double)"]},
     }
