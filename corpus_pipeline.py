@@ -39,11 +39,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it, to the nearest whole; one without words stays once."""
-    mixed = mixing.mix(docs, carried=docs.columns)
-    times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(1).cast("int")
-    return (mixed.withColumn("_times", times).where("_times > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns))
+    """Each document as many times as the mix takes it, in whole copies that keep each source's words; one without words stays once."""
+    mixed = mixing.whole_copies(docs, carried=docs.columns).where("copies > 0")
+    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
 
 
 def into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

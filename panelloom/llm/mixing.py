@@ -14,6 +14,11 @@ SLICES = 256
 SEED = 17
 MOST_REPEATS = 3
 WEIGHTS = 3
+# A source with fewer documents, or fewer blocks, than this for every slice is cut into fewer slices.
+LEAST_IN_SLICE = 64
+# From so many documents on, what a very long document leaves over goes to others of its source.
+MANY = 16
+MADE = ("size", "source_size", "target", "taken")
 
 
 def word_count(text: str) -> Column:
@@ -97,7 +102,8 @@ def mix(docs: DataFrame, carried: Sequence[str] = ("doc_id",), block: int = BLOC
 
     Sources by code point (NULL last, the empty name a source like others) weigh 1, 2, .. ``weights``
     and repeat.  Targets are cut into blocks of ``block`` words, dealt to sources and then to
-    ``slices`` hash slices of each source by Sainte-Laguë.  A slice lays its documents end to end in
+    up to ``slices`` hash slices of each source by Sainte-Laguë, each with about LEAST_IN_SLICE documents
+    and blocks at least.  A slice lays its documents end to end in
     seeded order, ``repeats`` times over, cuts this tape into equal blocks and takes as many from its
     start as its quota says.  A document is taken once for each time the tape's taken part covers it; at
     the end of that part it can be taken up to a word inside it: `taken` counts words, repeats included,
@@ -107,30 +113,91 @@ def mix(docs: DataFrame, carried: Sequence[str] = ("doc_id",), block: int = BLOC
     Sources without words have target 0.  Columns that are not
     carried are ignored, and carried ones with the names above are replaced.
     """
-    made = ("size", "source_size", "target", "taken")
-    plain = [c for c in carried if c not in made]
+    plain = _plain(carried)
+    return _mixed(docs, plain, block, slices, seed, repeats, weights, size).select(*plain, *MADE)
+
+
+def whole_copies(docs: DataFrame, carried: Sequence[str] = ("doc_id",), block: int = BLOCK, slices: int = SLICES, seed: int = SEED, repeats: int = MOST_REPEATS,
+                 weights: int = WEIGHTS, size: Column | None = None) -> DataFrame:
+    """The ``carried`` columns with `copies`: the mix in whole documents, with the words of each source kept.
+
+    Only the document at the end of a slice's tape is taken in part.  These, at most one per slice, are
+    rounded longest first, each to the nearest whole of its part and what the ones before left over.  If a
+    source of MANY documents still has words left over or short, its other documents no longer than that
+    get copies more or fewer, one in each turn of a tape through its slices, none above ``repeats``.  A
+    text without words stays once.
+    """
+    plain = _plain(carried)
+    placed = _mixed(docs, plain, block, slices, seed, repeats, weights, size)
+    narrow = keep_table(placed.select("_source", "_slice", "size", "taken", "_docs"), "mix-parts")
+    cut = (F.col("size") > 0) & (F.col("taken") % F.greatest("size", F.lit(1)) > 0)
+    ends = (narrow.where(cut).groupBy("_source", "_docs")
+            .agg(F.sort_array(F.collect_list(F.struct("size", "_slice", (F.col("taken") % F.col("size")).alias("part"))), asc=False).alias("ends")))
+
+    def rounded(acc: Column, e: Column) -> Column:
+        up = 2 * (acc["left"] + e["part"]) >= e["size"]
+        return F.struct((acc["left"] + e["part"] - F.when(up, e["size"]).otherwise(0)).alias("left"),
+                        F.when(up, F.array_append(acc["up"], e["_slice"])).otherwise(acc["up"]).alias("up"))
+
+    start = F.struct(F.lit(0).cast("long").alias("left"), F.array().cast("array<bigint>").alias("up"))
+    decided = ends.select("_source", F.when(F.col("_docs") >= MANY, F.lit(1)).otherwise(0).alias("_many"), F.aggregate("ends", start, rounded).alias("_d"))
+    decided = keep_table(decided.select("_source", (F.col("_d.left") * F.col("_many")).alias("_left"), F.col("_d.up").alias("_up")), "mix-rounded")
+    whole = F.floor(F.col("taken") / F.greatest("size", F.lit(1)))
+    room = F.when((F.col("size") > 0) & ~cut & (F.col("size") <= F.abs("_left")),
+                  F.when(F.col("_left") > 0, repeats - whole).otherwise(whole)).otherwise(0)
+    turns = range(1, repeats + 1)
+    given = {k: F.when(room >= k, F.col("size")).otherwise(0) for k in turns}
+    # A source without partial documents is not among the decided ones.
+    tapes = narrow.join(decided, "_source").groupBy("_source", "_slice", "_left", F.array_contains("_up", F.col("_slice")).alias("_more")).agg(
+        *[F.sum(given[k]).alias(f"_sum{k}") for k in turns])
+    own = Window.partitionBy("_source")
+    earlier = {k: sum((F.sum(f"_sum{j}").over(own) for j in range(1, k)), F.sum(f"_sum{k}").over(own.orderBy("_slice")) - F.col(f"_sum{k}")) for k in turns}
+    tapes = tapes.select("_source", "_slice", "_left", "_more", *[earlier[k].alias(f"_before{k}") for k in turns])
+    told = placed.join(tapes, ["_source", "_slice"], "left")
+    middle = {k: F.col(f"_before{k}") + F.sum(given[k]).over(along()) - F.col("size") / 2 for k in turns}
+    moved = sum(F.when((room >= k) & (middle[k] <= F.abs("_left")), F.signum("_left")).otherwise(0) for k in turns)
+    copies = F.floor(F.col("taken") / F.col("size")) + F.when(cut & F.col("_more"), 1).otherwise(0) + moved
+    return told.select(*plain, F.when(F.col("size") > 0, copies).otherwise(1).cast("int").alias("copies"))
+
+
+def along() -> Window:
+    """A slice's documents in seeded order, up to the current one."""
+    return Window.partitionBy("_source", "_slice").orderBy("_draw", "_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+
+
+def _plain(carried: Sequence[str]) -> list[str]:
+    return [c for c in carried if c not in MADE]
+
+
+def _mixed(docs: DataFrame, plain: list[str], block: int, slices: int, seed: int, repeats: int, weights: int, size: Column | None) -> DataFrame:
+    """The ``plain`` columns with those of MADE and, for further steps, source, slice, order and the source's documents with words."""
     size = word_count("text") if size is None else size
     rows = docs.select(*plain, F.col("doc_id").alias("_id"), size.alias("size"),
                        # A struct keeps NULL a source of its own, after all names.
                        F.struct(F.col("source").isNull().alias("missing"), F.coalesce("source", F.lit("")).alias("name")).alias("_source"),
                        F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_draw"))
-    rows = keep_table(rows.withColumn("_slice", F.pmod(F.col("_draw"), F.lit(slices))), "mix-rows")
-    per_slice = keep_table(rows.groupBy("_source", "_slice").agg(F.sum("size").alias("slice_size")), "mix-slices")
-    return _placed(rows, per_slice, plain, block, repeats, weights)
+    rows = keep_table(rows.withColumn("_piece", F.pmod(F.col("_draw"), F.lit(slices))), "mix-rows")
+    pieces = keep_table(rows.groupBy("_source", "_piece").agg(F.sum("size").alias("piece_size"), F.count_if(F.col("size") > 0).alias("_docs")), "mix-slices")
+    return _placed(rows, pieces, plain, block, slices, repeats, weights)
 
 
-def _placed(rows: DataFrame, per_slice: DataFrame, plain: list[str], block: int, repeats: int, weights: int) -> DataFrame:
-    sources = per_slice.groupBy("_source").agg(F.sum("slice_size").alias("source_size"))
+def _placed(rows: DataFrame, pieces: DataFrame, plain: list[str], block: int, slices: int, repeats: int, weights: int) -> DataFrame:
+    sources = pieces.groupBy("_source").agg(F.sum("piece_size").alias("source_size"), F.sum("_docs").alias("_docs"))
     ranked = gapless_rank(sources, [F.col("_source")], "_place", "mix-sources")
-    weighed = keep_table(ranked.select("_source", "source_size", (F.col("_place") % weights + 1).alias("weight")), "mix-weights")
+    weighed = keep_table(ranked.select("_source", "source_size", "_docs", (F.col("_place") % weights + 1).alias("weight")), "mix-weights")
     targets = keep_table(apportioned_sources(water_filled(weighed, repeats), block), "mix-targets")
-    quotas = apportioned_slices(per_slice.join(targets.select("_source", "seats", "source_size", "target"), "_source"))
+    full = F.least(F.col("_docs"), F.floor(F.col("source_size") / block)) / LEAST_IN_SLICE
+    own = F.greatest(F.lit(1), F.least(F.lit(slices), F.floor(full))).cast("long")
+    known = ["seats", "source_size", "target", "_docs"]
+    pieces = (pieces.drop("_docs").join(targets.select("_source", *known), "_source")
+              .withColumn("_slice", F.floor(F.col("_piece") * own / slices)))
+    quotas = apportioned_slices(pieces.groupBy("_source", "_slice", *known).agg(F.sum("piece_size").alias("slice_size")))
     words = F.least(F.col("quota") * block, repeats * F.col("slice_size"))
-    lines = quotas.select("_source", "_slice", "slice_size", "source_size", "target", words.alias("_words"))
-    along = Window.partitionBy("_source", "_slice").orderBy("_draw", "_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.withColumn("_end", F.sum("size").over(along)).join(lines, ["_source", "_slice"])
+    lines = pieces.select("_source", "_piece", "_slice").join(
+        quotas.select("_source", "_slice", "slice_size", "source_size", "target", "_docs", words.alias("_words")), ["_source", "_slice"])
+    placed = rows.join(lines, ["_source", "_piece"]).withColumn("_end", F.sum("size").over(along()))
     rounds = F.when(F.col("slice_size") > 0, F.floor(F.col("_words") / F.col("slice_size"))).otherwise(0).cast("long")
     rest = F.col("_words") - rounds * F.col("slice_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - (F.col("_end") - F.col("size"))))
-    return placed.select(*plain, "size", "source_size", "target",
-                         (rounds * F.col("size") + part).cast("long").alias("taken"))
+    return placed.select(*plain, "size", "source_size", "target", (rounds * F.col("size") + part).cast("long").alias("taken"),
+                         "_source", "_slice", "_draw", "_id", "_docs")

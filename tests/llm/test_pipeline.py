@@ -35,6 +35,25 @@ def test_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, FOLDER).count() == mixed.count()
 
 
+def words_kept(spark, sizes, slack):
+    """Words per source after the mix against its target, for texts of the given numbers of words."""
+    rows = [(i, " ".join(["w"] * n), s) for i, (s, n) in enumerate((s, n) for s, of in sizes.items() for n in of)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    targets = {r.source: r.target for r in mixing.mix(docs, carried=["source"]).toPandas().itertuples()}
+    kept = corpus_pipeline.target_mix(spark, docs, "").select("source", mixing.word_count("text").alias("n")).toPandas().groupby("source").n.sum()
+    for source, target in targets.items():
+        assert abs(kept.get(source, 0) - target) <= slack, (source, kept.get(source, 0), target)
+
+
+def test_mix_keeps_words_of_few_documents(spark):
+    words_kept(spark, {"a": [100] * 40, "b": [100] * 12, "c": [90] * 300, "d": [100] * 40}, 60)
+
+
+def test_mix_keeps_words_beside_a_very_long_document(spark):
+    for long in range(3):
+        words_kept(spark, {"a": [40] * 30 + [4000 + long] + [40] * 30, "b": [40] * 200, "c": [41] * 700 + [9000], "d": [40] * 30 + [5000 + long]}, 80)
+
+
 def test_registered():
     names = set(entry.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
