@@ -120,6 +120,25 @@ def context_terms(rows: DataFrame) -> DataFrame:
         (F.col("at") + F.col("t.end")).alias("end"))
 
 
+def disclosed_terms(text: Column, spans: Column, removed: Column, generalised: Column) -> Column:
+    """Every occurrence of the given terms between the base spans of the whole text, as (start, end, action)."""
+    def between(i: Column) -> Column:
+        # Spans of one kind do not overlap, so the last ones of all kinds tell where the text goes on.
+        at = F.aggregate(F.slice(spans, F.greatest(i - len(KINDS) + 1, F.lit(1)), F.least(i, F.lit(len(KINDS)))), F.lit(0).cast("long"),
+                         lambda a, x: F.greatest(a, x["end"]))
+        to = F.when(i < F.size(spans), F.element_at(spans, F.least(i + 1, F.size(spans)))["start"]).otherwise(F.length(text))
+        return F.struct(at.alias("at"), F.substring(text, (at + 1).cast("int"), F.greatest(to - at, F.lit(0)).cast("int")).alias("piece"))
+
+    def marked(gap: Column) -> Column:
+        words = F.transform(F.filter(located(gap["piece"], TERM), lambda t: F.length(t["value"]) > 1), lambda t: let(
+            F.xxhash64(F.lower(t["value"])), lambda term: F.struct(
+                (gap["at"] + t["start"]).alias("start"), (gap["at"] + t["end"]).alias("end"),
+                F.when(F.array_contains(removed, term), "remove").when(F.array_contains(generalised, term), "generalise").alias("action"))))
+        return F.filter(words, lambda w: w["action"].isNotNull())
+
+    return F.flatten(F.transform(F.transform(F.sequence(F.lit(0), F.size(spans)), between), marked))
+
+
 def disclosing(occurrences: DataFrame, docs: DataFrame, generalise: float, remove: float) -> DataFrame:
     """(entity, term, action) of the terms that reveal an entity.
 
@@ -147,8 +166,9 @@ def disclosing(occurrences: DataFrame, docs: DataFrame, generalise: float, remov
 def sanitise(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """doc_id, base (base spans) and added (term spans with their action), one row per document row.
 
-    Base spans are the personal data found by pattern.  Added spans are the words near a mention that
-    disclose its entity in the whole corpus.  NULL and empty texts have no spans.  Rows with equal texts
+    Base spans are the personal data found by pattern.  Added spans are the terms that disclose an entity,
+    judged by the words near its mentions in the whole corpus, wherever they stand in a text that mentions
+    it.  NULL and empty texts have no spans.  Rows with equal texts
     get equal spans; they count each in the corpus.  Rows with equal or NULL ids are separate rows.
     Further columns of the input are ignored.
     """
@@ -160,18 +180,19 @@ def sanitise(docs: DataFrame, generalise: float = GENERALISE, remove: float = RE
     some = F.size("spans") > 0
     # Texts without mentions meet nobody: their key is their own id's.
     key = F.when(some, F.sha2("text", 256)).otherwise(F.concat(F.lit("#"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = keep_table(rows.select("doc_id", key.alias("content"), "spans",
+    rows = keep_table(rows.select("doc_id", key.alias("content"), "spans", F.when(some, F.col("text")).alias("text"),
                                   F.when(some, contexts(F.col("text"), F.col("spans"))).otherwise(none).alias("sides")), "pii-rows")
     occurrences = keep_table(context_terms(rows), "pii-terms")
     known = disclosing(occurrences, docs, generalise, remove)
-    added = (occurrences.join(known, ["entity", "term"]).groupBy("content")
-             .agg(F.collect_set(F.struct("start", "end", "action")).alias("added")))
-    # A word near two mentions may be removed for one and generalised for the other: removal wins.
-    added = added.withColumn("added", F.filter("added", lambda t: (t["action"] == "remove") | ~F.exists(
-        F.col("added"), lambda o: (o["start"] == t["start"]) & (o["action"] == "remove"))))
+    mentions = rows.where(some).select("content", F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity")).distinct()
+    # A term may be removed for one entity and generalised for another: removal wins.
+    wanted = (mentions.join(known, "entity").groupBy("content")
+              .agg(F.collect_set(F.when(F.col("action") == "remove", F.col("term"))).alias("removed"),
+                   F.collect_set(F.when(F.col("action") == "generalise", F.col("term"))).alias("generalised")))
     empty = F.array().cast("array<struct<start:bigint,end:bigint,action:string>>")
-    return (rows.select("doc_id", "content", "spans").join(added, "content", "left")
-            .select("doc_id", F.col("spans").alias("base"), F.array_sort(F.coalesce("added", empty)).alias("added")))
+    added = F.when(F.col("removed").isNotNull(), disclosed_terms(F.col("text"), F.col("spans"), F.col("removed"), F.col("generalised"))).otherwise(empty)
+    return (rows.select("doc_id", "content", "spans", "text").join(wanted, "content", "left")
+            .select("doc_id", F.col("spans").alias("base"), F.array_sort(added).alias("added")))
 
 
 def rewritten(text: Column, base: Column, added: Column) -> Column:

@@ -227,6 +227,17 @@ def test_disclosing_terms(spark):
     assert "[EMAIL]" in clean and "zanzibar" not in clean and clean.startswith("number 0 the quick")
 
 
+def test_disclosing_terms_far_from_the_mention(spark):
+    filler = "the quick river runs past the old mill and the quiet town " * 3
+    rows = [(0, f"Zanzibar {filler} zanzibar agent jo@x.org spoke {filler} ZANZIBAR")]
+    rows += [(i, f"{filler} zanzibar agent jo@x.org spoke {filler}") for i in range(1, 6)] + [(100 + i, f"{i} {filler}") for i in range(200)]
+    rows += [(400, f"zanzibar@y.org {filler} jo@x.org"), (401, f"zanzibar {filler}")]
+    found = {r["doc_id"]: r for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    marked = {i: [text[t["start"]:t["end"]] for t in found[i]["added"]] for i, text in rows}
+    assert [w for w in marked[0] if w.lower() == "zanzibar"] == ["Zanzibar", "zanzibar", "ZANZIBAR"]
+    assert "zanzibar" not in marked[400] and not marked[401]
+
+
 @pytest.mark.parametrize("source", ["documents", "odd"])
 def test_language_model(request, source):
     docs = request.getfixturevalue(source)
