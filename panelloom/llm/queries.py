@@ -10,8 +10,11 @@ from panelloom.llm.classifier import op5_quality_classifier
 from panelloom.llm.common import table
 from panelloom.llm.decontaminate import op8_decontaminate
 from panelloom.llm.hmm import op1_language_model
+from panelloom.llm.merkle import op11_merkle_manifest
 from panelloom.llm.near_dedup import op4_near_dedup
+from panelloom.llm.oracles import merkle_sql, trie_sql
 from panelloom.llm.pii import op10_pii
+from panelloom.llm.prefix_trie import op13_prefix_trie
 from panelloom.llm.quality_rules import op2_quality_rules
 from panelloom.llm.suffix_dedup import op9_suffix_dedup
 
@@ -69,5 +72,6 @@ FROM parts"""
 QUERIES = {"op1_language_model": op1_language_model, "op2_quality_rules": op2_quality_rules, "op3_mixing": op3_mixing,
            "op4_near_dedup": op4_near_dedup,
            "op5_quality_classifier": op5_quality_classifier, "op7_sharding": op7_sharding,
-           "op8_decontaminate": op8_decontaminate, "op9_suffix_dedup": op9_suffix_dedup, "op10_pii": op10_pii, "op6_url_filter": op6_url_filter}
-ORACLES = {"op6_url_filter": _url_sql()}
+           "op8_decontaminate": op8_decontaminate, "op9_suffix_dedup": op9_suffix_dedup, "op10_pii": op10_pii, "op6_url_filter": op6_url_filter,
+           "op11_merkle_manifest": op11_merkle_manifest, "op13_prefix_trie": op13_prefix_trie}
+ORACLES = {"op6_url_filter": _url_sql(), "op11_merkle_manifest": merkle_sql(), "op13_prefix_trie": trie_sql()}
