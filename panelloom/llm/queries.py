@@ -10,6 +10,7 @@ from panelloom.llm.classifier import op5_quality_classifier
 from panelloom.llm.common import table
 from panelloom.llm.decontaminate import op8_decontaminate
 from panelloom.llm.hmm import op1_language_model
+from panelloom.llm.html_extract import op12_html_extraction
 from panelloom.llm.merkle import op11_merkle_manifest
 from panelloom.llm.near_dedup import op4_near_dedup
 from panelloom.llm.oracles import merkle_sql, trie_sql
@@ -73,5 +74,5 @@ QUERIES = {"op1_language_model": op1_language_model, "op2_quality_rules": op2_qu
            "op4_near_dedup": op4_near_dedup,
            "op5_quality_classifier": op5_quality_classifier, "op7_sharding": op7_sharding,
            "op8_decontaminate": op8_decontaminate, "op9_suffix_dedup": op9_suffix_dedup, "op10_pii": op10_pii, "op6_url_filter": op6_url_filter,
-           "op11_merkle_manifest": op11_merkle_manifest, "op13_prefix_trie": op13_prefix_trie}
+           "op11_merkle_manifest": op11_merkle_manifest, "op12_html_extraction": op12_html_extraction, "op13_prefix_trie": op13_prefix_trie}
 ORACLES = {"op6_url_filter": _url_sql(), "op11_merkle_manifest": merkle_sql(), "op13_prefix_trie": trie_sql()}
