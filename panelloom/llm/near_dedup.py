@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import (connected_components, hashes, id_bit, in_arrow, is_member, keep_table, member_bits, mixed,
+from panelloom.llm.common import (connected_components, gapless_rank, hashes, id_bit, in_arrow, is_member, keep_table, member_bits, mixed,
                                   record, shingle_hashes, table, text_chunks)
 
 SHINGLE, PERCENT = 5, 75
@@ -62,8 +62,8 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
     return key
 
 
-def _sketch_table(docs: DataFrame) -> DataFrame:
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("content", pa.binary()), ("bands", pa.list_(pa.int64()))])
+def _sketch_table(docs: DataFrame, carried: str) -> DataFrame:
+    made = [("n_shingles", pa.int64()), ("content", pa.binary()), ("bands", pa.list_(pa.int64()))]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_chunks(batches):
@@ -73,25 +73,32 @@ def _sketch_table(docs: DataFrame) -> DataFrame:
             bands: list = [None] * len(sets)
             for i, k in zip(filled, keys):
                 bands[i] = k
-            content = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-            yield record(schema, [rows.column(0), [len(s) for s in sets], content, bands])
+            content = [content_of(s) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *map(pa.array, ([len(s) for s in sets], content, bands), (t for _, t in made))],
+                                             names=["doc_id", "row", *[n for n, _ in made]])
 
-    return in_arrow(docs.select("doc_id", "text"), run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, content binary, bands array<long>")
+    kinds = dict(docs.dtypes)
+    return in_arrow(docs.select("doc_id", F.col(carried).alias("row"), "text"), run,
+                    f"doc_id {kinds['doc_id']}, row {kinds[carried]}, n_shingles long, content binary, bands array<long>")
+
+
+def content_of(shingles: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
 def _set_table(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(id, shingles) of the documents whose id may be among the wanted ones."""
+    """(content, shingles) of the documents whose id may be among the wanted ones."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
-    schema = pa.schema([("id", pa.int64()), ("shingles", pa.binary())])
+    schema = pa.schema([("content", pa.binary()), ("shingles", pa.binary())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.filter(pa.array(is_member(shared.value, batch.column(2).to_numpy())))
             for rows, texts in text_chunks([wanted]):
-                yield record(schema, [rows.column(0), [shingle_set(t).tobytes() for t in texts]])
+                sets = [s for s in map(shingle_set, texts) if len(s)]
+                yield record(schema, [[content_of(s) for s in sets], [s.tobytes() for s in sets]])
 
-    return in_arrow(docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", id_bit("doc_id")), run,
-                    f"id {dict(docs.dtypes)['doc_id']}, shingles binary")
+    return in_arrow(docs.select("doc_id", "text", id_bit("doc_id")), run, "content binary, shingles binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -168,30 +175,30 @@ def _prefix_pairs(undecided: DataFrame, sets: DataFrame, percent: int) -> DataFr
     return prefix.join(other, "shingle").where(fits).select(F.col("id").alias("a"), "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row.
+def classes(docs: DataFrame, percent: int = PERCENT, carried: str = "doc_id") -> DataFrame:
+    """Per row doc_id, `row` (the ``carried`` column), n_shingles, node, component, first_id and own_id.
 
-    Documents with equal shingle sets are one node, named by the smallest doc_id.  Nodes that share a
-    band meet in a bucket.  First each is compared with the bucket's smallest node; where a bucket then
-    still holds several components, its nodes are compared by a prefix join, which leaves out no pair of
-    different components that can be similar.  Every link is confirmed on the full sets.  A pair of
-    similarity 0.75 shares no band in 1 of 190,000 cases.
+    A node is a distinct shingle set, numbered in order of its smallest doc_id (own_id; NULL last), so that an id
+    with several texts is several nodes; `component` is the smallest node that links lead to and first_id
+    its doc_id.  All four are NULL for a row without words.
 
-    Texts without words, empty and NULL ones are linked with nothing.  Rows with equal doc_id count as
-    one document if their sets are equal.  A row without a doc_id cannot be named: it is linked with
-    nothing and kept, with a NULL component_id.  Further columns of the input are not looked at.
+    Nodes that share a band meet in a bucket.  First each is compared with the bucket's smallest node; where a
+    bucket then still holds several components, its nodes are compared by a prefix join, which leaves out
+    no pair of different components that can be similar.  Every link is confirmed on the full sets.  A
+    pair of similarity 0.75 shares no band in 1 of 190,000 cases.
     """
-    rows = keep_table(_sketch_table(docs), "dedup-sketches")
-    named = rows.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    groups = keep_table(named.groupBy("content").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")), "dedup-groups")
-    nodes = (named.join(groups.select("content", F.col("id").alias("doc_id")), ["content", "doc_id"])
-             .dropDuplicates(["content"]).select(F.col("doc_id").alias("id"), F.explode("bands").alias("band")))
-    nodes = keep_table(nodes, "dedup-bands")
+    rows = keep_table(_sketch_table(docs, carried), "dedup-sketches")
+    named = rows.where("n_shingles > 0")
+    groups = named.groupBy("content").agg(F.min("doc_id").alias("own_id"), F.first("bands").alias("bands"))
+    groups = keep_table(gapless_rank(groups, [F.col("own_id").asc_nulls_last(), F.col("content")], "id", "dedup-groups"), "dedup-nodes")
+    nodes = keep_table(groups.select("id", F.explode("bands").alias("band")), "dedup-bands")
     buckets = nodes.groupBy("band").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader < last")
     members = keep_table(nodes.join(buckets.select("band", "leader"), "band"), "dedup-members")
     pairs = keep_table(members.where("id > leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct(), "dedup-pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = keep_table(_set_table(docs, member_bits(wanted, id_bit("id"))).dropDuplicates(["id"]), "dedup-sets")
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().join(groups.select("id", "content", "own_id"), "id")
+    wanted = keep_table(wanted, "dedup-wanted")
+    sets = _set_table(docs, member_bits(wanted, id_bit("own_id"))).join(wanted.select("id", "content"), "content").select("id", "shingles")
+    sets = keep_table(sets.dropDuplicates(["id"]), "dedup-sets")
     links = keep_table(_verified(pairs, sets, percent), "dedup-links")
     first = keep_table(connected_components(links, "dedup-star"), "dedup-components")
     placed = (members.join(first.withColumnRenamed("node", "id"), "id", "left")
@@ -202,14 +209,56 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = first
     if not more.isEmpty():
         found = keep_table(connected_components(links.unionByName(more), "dedup-all"), "dedup-all-components")
-    renamed = (groups.join(found.withColumnRenamed("node", "id"), "id", "left").where("copies > 1 OR component < id")
-               .select("content", F.coalesce("component", "id").alias("component")))
-    # Rows of no group join on their own id's hash instead of meeting as NULLs.
+    linked = found.where("component < node").withColumnRenamed("node", "id")
+    linked = linked.join(groups.select(F.col("id").alias("component"), F.col("own_id").alias("first_id")), "component")
+    told = (groups.select("content", "id", "own_id").join(linked, "id", "left")
+            .select("content", F.col("id").alias("node"), F.coalesce("component", "id").alias("component"),
+                    F.when(F.col("component").isNull(), F.col("own_id")).otherwise(F.col("first_id")).alias("first_id"), "own_id"))
+    # Rows without words join on their own id's hash instead of meeting as NULLs.
     spread = F.coalesce("content", F.encode(F.concat(F.lit("#"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "UTF-8"))
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return (rows.select("doc_id", "n_shingles", spread.alias("content")).join(renamed, "content", "left")
+    return rows.select("doc_id", "row", "n_shingles", spread.alias("content")).join(told, "content", "left").drop("content")
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row.
+
+    Texts without words, empty and NULL ones are linked with nothing.  Rows with equal doc_id count as
+    one document if their sets are equal; an id with different sets is linked through each of them, and
+    each of its rows is told its own component.  A row without a doc_id cannot be named: it is kept, with a
+    NULL component_id.  Further columns of the input are not looked at.
+    """
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("first_id", "doc_id"))
+    return (classes(docs.select("doc_id", "text"), percent)
             .select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept")))
 
 
+def distinct_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` without those of which a near-duplicate stays, with all their columns.
+
+    Of each class of near-duplicate texts the text of the smallest doc_id stays (NULL last, then by its set),
+    and of its rows the one with that id; of rows with one id and text the least by all columns.  So no
+    text is lost through an id that other texts have too.  Rows without words are nobody's duplicate,
+    but of rows with one id and text one stays.  An empty table stays empty; no column name is reserved.
+    """
+    held = _held(docs)
+    rows = classes(held.select("doc_id", "text", "_name"), percent, "_name").select("doc_id", F.col("row").alias("_name"), "node", "component", "own_id")
+    stays = F.when(F.col("node").isNull(), True).otherwise((F.col("node") == F.col("component")) & F.col("doc_id").eqNullSafe(F.col("own_id")))
+    told = keep_table(rows.groupBy("_name").agg(F.count(F.lit(1)).alias("_times"), F.min(stays).alias("_stays")).where("_times > 1 OR NOT _stays"), "dedup-told")
+    once = held.join(told.select("_name"), "_name", "left_anti").select("_row")
+    several = held.join(told.where("_stays").select("_name"), "_name", "left_semi").groupBy("_name").agg(F.min("_row").alias("_row")).select("_row")
+    return _given(once.unionByName(several), docs)
+
+
+def _held(docs: DataFrame) -> DataFrame:
+    """doc_id and text, the name of a row by both, and the row itself under names of its own."""
+    told = [F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in (F.col("doc_id").cast("string"), F.col("text"))]
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    return docs.select("doc_id", "text", F.unhex(F.sha2(F.concat(*told), 256)).alias("_name"), row.alias("_row"))
+
+
+def _given(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def op4_near_dedup(spark, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))

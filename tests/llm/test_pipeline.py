@@ -56,4 +56,43 @@ def test_mix_keeps_words_beside_a_very_long_document(spark):
 
 def test_registered():
     names = set(entry.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
+
+
+SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, size string, copies string, score string, predicted string, "
+          "slot string, _row string, _id string, `a b.c` string")
+
+
+def odd_documents(spark, rows):
+    return spark.createDataFrame([(i, t, None, s, None, "x", "y", "z", "p", "q", "r", "i", "d") for i, t, s in rows], SCHEMA).repartition(3)
+
+
+A, B = (" ".join(f"{name}{i}" for i in range(40)) for name in "ab")
+
+
+def test_no_text_is_lost_with_an_id(spark):
+    docs = odd_documents(spark, [(1, A, "s"), (2, A, "s"), (2, B, "s"), (3, B, "t"), (5, B, None), (5, B, None), (7, A + " end", "s"), (None, A, "s"),
+                                 (None, "no id " + B[:90], "s"), (8, "", "s"), (8, "", "s"), (9, None, None), (9, " ", None)])
+    kept = corpus_pipeline.distinct_texts(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert found == sorted([(1, A), (2, B), (None, "no id " + B[:90]), (8, ""), (9, None), (9, " ")], key=str)
+
+
+def test_repeated_rows(spark):
+    docs = odd_documents(spark, [(1, A, "s"), (1, A, "s"), (2, A, "s"), (None, B, "s"), (None, B, "s")])
+    assert sorted(((r.doc_id, r.text) for r in corpus_pipeline.distinct_texts(spark, docs, FOLDER).collect()), key=str) == [(1, A), (None, B)]
+
+
+def test_odd_rows_and_names_in_every_stage(spark):
+    docs = odd_documents(spark, [(1, A, "s"), (1, A, "s"), (2, B, None), (2, A + " x", "t"), (None, A, "s"), (None, None, None), (3, "", "t"), (4, "word " * 60_000, "t")])
+    for frame in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            after = stage(spark, frame, FOLDER)
+            rows = after.collect()
+            assert bool(rows) or frame is not docs or name == "quality", name
+            if name != "shard":
+                assert after.columns == docs.columns
+                assert {tuple(r) for r in rows} <= {tuple(r) for r in docs.collect()}
+            else:
+                assert {"shard", "size", "input_size", "input_slot"} <= set(after.columns) and len(rows) == frame.count()
