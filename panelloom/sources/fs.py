@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
@@ -84,5 +87,41 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a text file unless there is one; whoever reads it finds the whole text, and of two writers one succeeds.
+
+    A finished file gets its name by one operation that fails where the name is taken: a hard link on a local
+    file system, elsewhere a rename without overwriting.
+    """
+    target, fs = _path(spark, path)
+    staged = join(parent(path), f"_novo-{uuid.uuid4().hex}")
+    write_text(spark, staged, text)
+    try:
+        if fs.getScheme() == "file":
+            os.link(_path(spark, staged)[0].toUri().getPath(), target.toUri().getPath())
+        else:
+            hadoop = spark._jvm.org.apache.hadoop.fs
+            none = spark._sc._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+            hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(
+                _path(spark, staged)[0], target, none)
+    except FileExistsError:
+        return False
+    except Py4JError as error:
+        if "FileAlreadyExists" in str(error):
+            return False
+        raise
+    finally:
+        delete(spark, staged)
+    return True
+
+
+def list_folders(spark: SparkSession, root: str) -> list[str]:
+    """Names of the folders directly below ``root``, sorted."""
+    target, fs = _path(spark, root)
+    if not fs.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(target) if status.isDirectory())
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from panelloom.contract import SCHOOL_RATES
 from panelloom.operators import checks, views
 from panelloom.operators.catalog import METRICS, metric_catalogue
-from panelloom.plans import consolidate, load, publish
+from panelloom.plans import consolidate, load
 from panelloom.plans.publish import type_names
 from panelloom.sources import files, reports, yearly
 from test_checks import ENTITY, PLACE
@@ -147,55 +147,54 @@ def test_success_repeat_failure_and_shrinking(spark, tmp_path, monkeypatch):
     assert spark.sql("SELECT ano_referencia FROM dim_municipio_canonica").first()[0] == 2024
 
 
+def test_every_earlier_state_can_be_read(spark, tmp_path):
+    store = str(tmp_path / "banco")
+    seen = []
+    for rate in (10.0, 20.0):
+        products(spark, tmp_path, rate=rate)
+        seen.append(run(spark, tmp_path)["id_execucao"])
+    events = [(e.sequencia, e.id_execucao, e.status) for e in load.load_events(spark, store).orderBy("sequencia").collect()]
+    assert events == [(1, seen[0], "em_execucao"), (2, seen[0], "sucesso"), (3, seen[1], "em_execucao"), (4, seen[1], "sucesso")]
+    states = {n: {r.id_execucao: (r.status, r.carga_ativa) for r in load.load_log(spark, store, n).collect()} for n in range(5)}
+    assert states[0] == {} and states[1] == {seen[0]: ("em_execucao", False)} and states[2] == {seen[0]: ("sucesso", True)}
+    assert states[3] == {seen[0]: ("sucesso", True), seen[1]: ("em_execucao", False)}
+    assert states[4] == {seen[0]: ("sucesso", False), seen[1]: ("sucesso", True)}
+    rates = [load.read_publication(spark, store, n)["fato_rendimento_escolar"].first().tap_fun for n in (2, 3, 4, None)]
+    assert rates == [10.0, 10.0, 20.0, 20.0]
+    with pytest.raises(checks.CheckFailed, match="Nenhuma"):
+        load.read_publication(spark, store, 1)
+    assert load.vacuum(spark, store, keep=1) == [f"v={seen[0]}"]
+    assert load.read_publication(spark, store)["fato_rendimento_escolar"].first().tap_fun == 20.0
+
+
+def test_of_two_loads_one_is_activated(spark, tmp_path, monkeypatch):
+    """A load that is overtaken while it checks is refused, and its snapshot goes."""
+    products(spark, tmp_path)
+    overtaken = load.write_snapshot
+
+    def overtaking(tables, path):
+        overtaken(tables, path)
+        monkeypatch.setattr(load, "write_snapshot", overtaken)
+        assert run(spark, tmp_path)["status"] == "sucesso"
+
+    monkeypatch.setattr(load, "write_snapshot", overtaking)
+    slow = run(spark, tmp_path)
+    assert slow["status"] == "falha" and "Outra carga" in slow["mensagem_erro"]
+    states = {r.id_execucao: (r.status, r.carga_ativa) for r in load.load_log(spark, str(tmp_path / "banco")).collect()}
+    assert states.pop(slow["id_execucao"]) == ("falha", False) and list(states.values()) == [("sucesso", True)]
+    assert len(list((tmp_path / "banco/versoes").iterdir())) == 1
+
+
 def test_interrupted_run_is_closed(spark, tmp_path):
     from datetime import datetime, timezone
     products(spark, tmp_path)
-    load.append_log(spark, str(tmp_path / "banco"), {"id_execucao": "antiga", "inicio": datetime.now(timezone.utc),
-                                                     "status": load.RUNNING, "versao_pipeline": "x", "manifesto_origem": "{}"})
+    load.append_event(spark, str(tmp_path / "banco"), {"id_execucao": "antiga", "inicio": datetime.now(timezone.utc),
+                                                       "status": load.RUNNING, "versao_pipeline": "x", "manifesto_origem": "{}"})
     assert run(spark, tmp_path)["status"] == "sucesso"
     old = load.load_log(spark, str(tmp_path / "banco")).where("id_execucao = 'antiga'").first()
     assert old.status == load.INTERRUPTED and old.fim is not None and not old.carga_ativa
 
 
-@pytest.mark.parametrize("lost", [False, True])
-def test_interrupted_publication_is_taken_back(spark, tmp_path, monkeypatch, lost):
-    """After any number of moves, by an error or with the driver lost, all places are as before."""
-    move = publish.fs.rename
-    places = {"novo": "livre", "outro": "ocupado"}
-    for moves in range(1, 4):
-        home = tmp_path / str(moves)
-        home.mkdir()
-        for name in ("novo", "outro", "ocupado"):
-            (home / name).write_text(name)
-        journal = str(home / "diario.json")
-        done = []
-
-        def failing(session, source, target):
-            if lost and len(done) > moves:
-                raise KeyboardInterrupt
-            if len(done) == moves:
-                done.append(source)
-                raise KeyboardInterrupt if lost else OSError("falha simulada")
-            move(session, source, target)
-            done.append(source)
-
-        monkeypatch.setattr(publish.fs, "rename", failing)
-        with pytest.raises(KeyboardInterrupt if lost else OSError):
-            publish.publish(spark, {str(home / new): str(home / target) for new, target in places.items()}, journal)
-        monkeypatch.undo()
-        assert publish.recover(spark, journal) is lost
-        left = {p.name: p.read_text() for p in home.iterdir() if not p.name.startswith(".")}
-        assert left == ({"ocupado": "ocupado"} if lost else {n: n for n in ("novo", "outro", "ocupado")})
-        assert not publish.recover(spark, journal)
-
-
-def test_publication_needs_all_artefacts(spark, tmp_path):
-    (tmp_path / "ocupado").write_text("x")
-    with pytest.raises(OSError, match="ausente"):
-        publish.publish(spark, {str(tmp_path / "ausente"): str(tmp_path / "ocupado")}, str(tmp_path / "diario.json"))
-    assert (tmp_path / "ocupado").read_text() == "x"
-
-
 def test_fact_files_name_one_year(spark, tmp_path):
     root = tmp_path / "ano=1/taxas"
     spark.createDataFrame([(1, 2024)], "v int, ano int").write.partitionBy("ano").parquet(str(root))
