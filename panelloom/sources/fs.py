@@ -37,6 +37,12 @@ def name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and authority, as Spark names files below it."""
+    target, fs = _path(spark, path)
+    return fs.makeQualified(target).toString().rstrip("/")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target, fs = _path(spark, path)
     return fs.exists(target)
