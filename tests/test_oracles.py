@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
-from panelloom.workloads.registry import QUERIES
+from __spark_entry__ import QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 

@@ -26,6 +26,14 @@ def test_year_filter_prunes_partitions(fact):
     assert "PartitionFilters: [isnotnull(ano" in text and "tap_fun" not in text
 
 
+def test_a_join_on_years_prunes_partitions(spark, fact, tmp_path):
+    spark.createDataFrame([(2023, "a"), (2024, "b")], "ano int, x string").write.parquet(str(tmp_path / "anos"))
+    years = spark.read.parquet(str(tmp_path / "anos")).where("x = 'b'")
+    found = views.of_years(fact, years, "ano").select("ano", "co_entidade")
+    assert "PartitionFilters: [isnotnull(ano" in plan(found) and "dynamicpruning" in plan(found)
+    assert [r.ano for r in found.collect()] == [2024]
+
+
 def test_dimensions_read_their_columns_only(fact):
     text = plan(analytic.dimension_rows(fact, SCHOOL_RATES.places))
     assert "tap_fun" not in text and "no_entidade" not in text
