@@ -42,15 +42,20 @@ def row_signature(columns: Sequence[str]) -> Column:
     return F.unhex(F.sha2(content, 256))
 
 
-def fingerprint(df: DataFrame, table: str) -> DataFrame:
-    """One row that is the same for equal multisets of rows, in any order or partitioning.
+def row_hashes(columns: Sequence[str], salt: str = "") -> tuple[Column, Column]:
+    """Two 64-bit hashes over the columns, equal for equal rows.
 
     The NULL flags take part because a hash skips NULLs and would let values change columns.
     """
-    names = sorted(df.columns)
-    row_hash = F.xxhash64(*[F.col(c) for c in names], *[F.col(c).isNull() for c in names])
-    second = F.xxhash64(F.lit(table), row_hash, *[F.col(c) for c in names])
-    return (df.select(row_hash.alias("h1"), second.alias("h2"))
+    values = [F.col(c) for c in columns]
+    first = F.xxhash64(*values, *[v.isNull() for v in values])
+    return first, F.xxhash64(F.lit(salt), first, *values)
+
+
+def fingerprint(df: DataFrame, table: str) -> DataFrame:
+    """One row that is the same for equal multisets of rows, in any order or partitioning."""
+    first, second = row_hashes(sorted(df.columns), table)
+    return (df.select(first.alias("h1"), second.alias("h2"))
             .agg(F.count(F.lit(1)).alias("linhas"),
                  F.coalesce(F.bit_xor("h1"), F.lit(0)).alias("paridade"),
                  F.coalesce(F.sum(F.col("h1").cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias("soma"),

@@ -115,6 +115,7 @@ def load_checks(spark: SparkSession, folder: str) -> DataFrame:
         FACT: star[FACT].withColumn("tap_fun", low).withColumn("no_entidade", moved),
         ENTITIES: star[ENTITIES].where(~F.col("id_escola").startswith("3")),
         PLACES: star[PLACES].where(~F.col("id_municipio").startswith("4"))})
+    staged[ENTITIES] = keep_table(staged[ENTITIES], "escolas-casadas")
     previous = {ENTITIES: star[ENTITIES].withColumn("no_entidade", F.upper("no_entidade")), PLACES: star[PLACES]}
     return checks.load_checks(staged, catalog.metric_catalogue(spark), previous)
 

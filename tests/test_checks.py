@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelloom.contract import SCHOOL_RATES
+from panelloom.functions.numbers import out_of_range
 from panelloom.operators import audit, checks
 from panelloom.operators.catalog import METRICS, metric_catalogue
 from panelloom.operators.checks import CATALOGUE, ENTITIES, FACT, PLACES
@@ -101,7 +102,8 @@ def test_counts_must_match_the_manifest(star, change):
                                        (None, 0), (0.0, 0), (100.0, 0)])
 def test_rate_rule(spark, value, bad):
     frame = spark.createDataFrame([(value,)], "tap_fun double")
-    assert checks.count_violations(frame, checks.rate_rules(["tap_fun"])).first().divergencias == bad
+    rule = F.expr(out_of_range("tap_fun", SCHOOL_RATES.lowest, SCHOOL_RATES.highest))
+    assert checks.count_violations(frame, {"faixa": rule}).first().divergencias == bad
 
 
 def test_schema_differences_by_kind():
@@ -140,6 +142,11 @@ def test_content_diff_and_multisets(spark):
     right = spark.createDataFrame([(1, "a"), (2, None), (3, "x"), (4, "d")], "k int, v string")
     assert sorted(r.k for r in checks.content_diff(left, right, ["k"], ["k", "v"]).collect()) == [3, 4]
     assert checks.multiset_difference(left, left.unionAll(left)).count() == 3
+    twice = spark.createDataFrame([(5, "a"), (5, "a"), (6, "b"), (None, "n")], "k int, v string")
+    other = spark.createDataFrame([(5, "c"), (5, "c"), (6, "b"), (None, "n")], "k int, v string")
+    assert [r.k for r in checks.content_diff(twice, other, ["k"], ["k", "v"]).collect()] == [5]
+    assert checks.content_diff(twice, twice.repartition(3), ["k"], ["k", "v"]).isEmpty()
+    assert sorted(tuple(r) for r in checks.multiset_difference(twice, other).collect()) == [(5, "a"), (5, "a"), (5, "c"), (5, "c")]
 
 
 def test_audit_against_brute_force(spark):

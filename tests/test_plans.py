@@ -80,3 +80,23 @@ def test_row_positions_stay_in_hash_aggregates(spark):
     rows = spark.range(10).selectExpr("id % 3 AS k", "CAST(id AS DECIMAL(38,0)) AS o")
     text = plan(rows.groupBy("k").min("o"))
     assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_load_checks_need_few_passes(spark, tmp_path):
+    """Two passes over the fact and at most two over every other table; all aggregates hash."""
+    from panelloom.operators.catalog import metric_catalogue
+    from panelloom.plans.load import staged_tables
+    origin, _ = products(spark, tmp_path, years=(2023, 2024))
+    paths = {checks.PLACES: "dim_municipios.parquet", checks.ENTITIES: "dim_escolas.parquet", checks.CATALOGUE: "dim_metricas.parquet"}
+    tables = {t: spark.read.parquet(str(origin / p)) for t, p in paths.items()}
+    tables[checks.FACT] = consolidate.closed_fact(spark, str(origin))
+    tables = staged_tables(tables)
+    tables[checks.ENTITIES].write.parquet(str(tmp_path / "casadas"))
+    tables[checks.ENTITIES] = spark.read.parquet(str(tmp_path / "casadas"))
+    previous = {t: spark.read.parquet(str(origin / paths[t])) for t in (checks.ENTITIES, checks.PLACES)}
+    found = checks.load_checks(tables, metric_catalogue(spark), previous)
+    found.collect()
+    text = plan(found)
+    final = text[:text.index("== Initial Plan ==")] if "== Initial Plan ==" in text else text
+    assert text.count("/taxas") <= 2 * max(1, text.count("== Initial Plan ==") + 1)
+    assert final.count("FileScan parquet") <= 11 and "SortAggregate" not in final
