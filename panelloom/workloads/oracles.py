@@ -223,6 +223,22 @@ _FILE = "'rendimento_escolas_' || y || '.xlsx' AS fonte_arquivo, file AS fonte_c
 _TEXTS = """SELECT 'documents/' || doc_id AS caminho, doc_id AS chave, text AS texto FROM documents
     UNION ALL SELECT 'pages/' || page_id, page_id, html FROM pages"""
 
+_SAME = " AND ".join(f"p.{c} IS NOT DISTINCT FROM k.{c}" for c in PLACE) + " AND p.co_municipio IS NOT NULL"
+
+
+def _integrity(name: str, key: str, code: str, dimension: str, missing: str) -> str:
+    """The rules of one dimension and of the references of ``f`` to it."""
+    d = dimension
+    counts = {
+        "chave_duplicada": f"FROM (SELECT 1 FROM {d} GROUP BY {key} HAVING count(*) > 1)", "chave_nula": f"FROM {d} WHERE {key} IS NULL",
+        "codigo_ausente": f"FROM {d} WHERE {code} IS NULL",
+        "referencia_nula": f"FROM f WHERE (f.{key} IS NULL) <> (f.{code} IS NULL) {missing}",
+        "referencia_invalida": f"FROM f WHERE f.{key} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {d} WHERE {d}.{key} = f.{key})",
+        "codigo_divergente": f"FROM f WHERE EXISTS (SELECT 1 FROM {d} WHERE {d}.{key} = f.{key}) "
+                             f"AND NOT EXISTS (SELECT 1 FROM {d} WHERE {d}.{key} = f.{key} AND {d}.{code} IS NOT DISTINCT FROM f.{code})"}
+    return " UNION ALL ".join(f"SELECT '{name}_{rule}' AS validacao, count(*) AS divergencias {rows}" for rule, rows in counts.items())
+
+
 ORACLES = {
     "panel_history": f"""{panel()}
         SELECT ano, {", ".join(HISTORY_TEXT)}, {", ".join(RATES)}, fonte_arquivo, fonte_caminho, fonte_aba,
@@ -235,8 +251,9 @@ ORACLES = {
         SELECT 'TOTAL' AS ano, sums.*, overall.* FROM overall,
             (SELECT {", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in _COUNTERS)} FROM by_year) sums""",
     "panel_breaches": f"""{panel()}
-        SELECT ano, CAST(0 AS BIGINT) AS anos_divergentes, CAST(0 AS BIGINT) AS codigos_numericos,
-               CAST(count(*) FILTER (WHERE FALSE) AS BIGINT) AS taxas_textuais_escola FROM hist GROUP BY ano""",
+        SELECT CAST(y + CASE WHEN o_orderkey % 97 = 0 THEN 1 ELSE 0 END AS INTEGER) AS ano, count(*) FILTER (WHERE o_orderkey % 97 = 0) AS anos_divergentes,
+               count(*) FILTER (WHERE o_orderkey % 10 = 0 AND co_municipio IS NOT NULL) AS codigos_numericos,
+               count(*) FILTER (WHERE o_orderkey % 89 = 0 AND co_entidade IS NOT NULL) AS taxas_textuais_escola FROM raw GROUP BY 1""",
     "status_report": f"""{audit(True)}
         SELECT ano, quantidade_linhas_entrada, duplicidades_ano_escola, {_STATUS} AS status FROM by_year""",
     "status_counts": f"""{audit()}
@@ -249,37 +266,62 @@ ORACLES = {
     "reconcile_counts": f"""{panel(True)}
         SELECT ano, count(*) AS historico, count(co_entidade) AS linhas_analiticas FROM hist GROUP BY ano
         HAVING count(*) <> count(co_entidade)""",
-    "star_checks": f"""{star()}
-        SELECT * FROM (VALUES ('escola_chave_nula'), ('escola_codigo_ausente'), ('escola_chave_duplicada'),
-            ('escola_referencia_nula'), ('escola_referencia_invalida'), ('escola_codigo_divergente'),
-            ('municipio_chave_nula'), ('municipio_codigo_ausente'), ('municipio_chave_duplicada'),
-            ('municipio_referencia_nula'), ('municipio_referencia_invalida'), ('municipio_codigo_divergente')) v(validacao)
-        CROSS JOIN LATERAL (SELECT CASE validacao
-            WHEN 'escola_referencia_invalida' THEN (SELECT count(*) FROM fact WHERE id_escola LIKE '0%')
-            WHEN 'municipio_codigo_divergente' THEN (SELECT count(*) FROM fact WHERE id_municipio LIKE 'f%')
-            ELSE 0 END AS divergencias)""",
+    "star_checks": f"""{star()},
+        kept AS (SELECT * REPLACE (CASE WHEN id_escola LIKE 'd2%' THEN NULL ELSE id_escola END AS id_escola,
+                 CASE WHEN id_escola LIKE 'f%' THEN 'outro' WHEN id_escola LIKE 'd1%' THEN NULL ELSE co_entidade END AS co_entidade)
+                 FROM schools WHERE id_escola NOT LIKE '0%'),
+        e AS (SELECT * FROM kept UNION ALL SELECT * FROM kept WHERE id_escola LIKE 'e1%'),
+        near AS (SELECT * REPLACE (CASE WHEN id_municipio LIKE 'd2%' THEN NULL ELSE id_municipio END AS id_municipio,
+                 CASE WHEN id_municipio LIKE 'f%' THEN 'outro' WHEN id_municipio LIKE 'd1%' THEN NULL ELSE co_municipio END AS co_municipio)
+                 FROM places WHERE id_municipio NOT LIKE '0%'),
+        p AS (SELECT * FROM near UNION ALL SELECT * FROM near WHERE id_municipio LIKE 'e%'),
+        f AS (SELECT * REPLACE (CASE WHEN id_escola LIKE 'c1%' THEN NULL ELSE id_municipio END AS id_municipio, CASE WHEN id_escola LIKE 'c2%' THEN NULL ELSE id_escola END AS id_escola)
+              FROM fact)
+        {_integrity('escola', 'id_escola', 'co_entidade', 'e', 'OR f.id_escola IS NULL')} UNION ALL {_integrity('municipio', 'id_municipio', 'co_municipio', 'p', '')}""",
     "load_checks": f"""{star()},
-        kept AS (SELECT * FROM schools WHERE id_escola NOT LIKE '3%'),
-        kept_places AS (SELECT * FROM places WHERE id_municipio NOT LIKE '4%'),
-        filled AS (SELECT k.*, p.id_municipio FROM kept k LEFT JOIN kept_places p
-            ON p.co_municipio = k.co_municipio AND p.no_municipio IS NOT DISTINCT FROM k.no_municipio
-            AND p.sg_uf IS NOT DISTINCT FROM k.sg_uf AND p.no_regiao IS NOT DISTINCT FROM k.no_regiao)
-        SELECT * FROM (
-        VALUES ('duplicidade_dim_municipio', 0), ('nulos_dim_municipio', 0), ('hash_dim_municipio_id_municipio', 0),
-            ('duplicidade_dim_escola', 0), ('nulos_dim_escola', 0), ('hash_dim_escola_id_escola', 0),
-            ('hash_dim_escola_id_municipio', 0), ('municipio_identificado_dim_escola', 0),
-            ('duplicidade_catalogo_metricas', 0), ('nulos_catalogo_metricas', 0), ('periodo_catalogo_metricas', 0),
-            ('duplicidade_fato_rendimento_escolar', 0), ('nulos_fato_rendimento_escolar', 0),
-            ('hash_fato_rendimento_escolar_id_escola', 0), ('hash_fato_rendimento_escolar_id_municipio', 0),
-            ('hash_conteudo_anterior_dim_municipio', 0), ('fk_municipio_escola', 0), ('catalogo_incompativel', 0)) v(validacao, divergencias)
-        UNION ALL SELECT 'taxas_fora_faixa', count(*) FROM fact WHERE id_escola LIKE '1%'
-        UNION ALL SELECT 'correspondencia_municipal_escola', count(*) FROM filled WHERE co_municipio IS NOT NULL AND id_municipio IS NULL
-        UNION ALL SELECT 'hash_conteudo_anterior_dim_escola', count(*) FROM kept WHERE upper(no_entidade) <> no_entidade
-        UNION ALL SELECT 'fk_escola_fato', count(*) FROM fact WHERE id_escola LIKE '3%'
-        UNION ALL SELECT 'fk_escola_codigo_fato', count(*) FROM fact WHERE id_escola LIKE '3%'
-        UNION ALL SELECT 'fk_municipio_fato', count(*) FROM fact WHERE id_municipio LIKE '4%'
-        UNION ALL SELECT 'atributos_fato_escola', count(*) FROM fact f JOIN filled e USING (id_escola)
-            WHERE f.id_escola LIKE '2%' OR f.id_municipio IS DISTINCT FROM e.id_municipio""",
+        drawn AS (SELECT * REPLACE (
+            CASE WHEN id_escola LIKE '1%' THEN -1 WHEN id_escola LIKE '80%' THEN CAST('nan' AS DOUBLE) WHEN id_escola LIKE '90%' THEN CAST('inf' AS DOUBLE)
+                 WHEN id_escola LIKE '91%' THEN 100.5 ELSE tap_fun END AS tap_fun,
+            CASE WHEN id_escola LIKE '2%' THEN 'Divergente' ELSE no_entidade END AS no_entidade, CASE WHEN id_escola LIKE 'a0%' THEN NULL ELSE co_entidade END AS co_entidade,
+            CASE WHEN id_escola LIKE 'd0%' THEN 'curto' ELSE id_municipio END AS id_municipio,
+            CASE WHEN id_escola LIKE 'b0%' THEN NULL WHEN id_escola LIKE 'c0%' THEN 'curta' ELSE id_escola END AS id_escola) FROM fact),
+        f AS (SELECT * FROM drawn UNION ALL SELECT * FROM drawn WHERE id_escola LIKE 'e0%'),
+        near AS (SELECT * REPLACE (CASE WHEN id_municipio LIKE '6%' THEN NULL ELSE co_municipio END AS co_municipio,
+            CASE WHEN id_municipio LIKE '7%' THEN 'curto' ELSE id_municipio END AS id_municipio) FROM places WHERE id_municipio NOT LIKE '4%'),
+        p AS (SELECT * FROM near UNION ALL SELECT * FROM near WHERE id_municipio LIKE '5%'),
+        matched AS (SELECT k.*, (SELECT min(id_municipio) FROM p WHERE {_SAME}) AS id_municipio, (SELECT count(*) FROM p WHERE {_SAME}) AS times
+            FROM schools k WHERE id_escola NOT LIKE '3%'),
+        altered AS (SELECT * REPLACE (CASE WHEN id_escola LIKE '50%' THEN NULL ELSE co_entidade END AS co_entidade,
+            CASE WHEN id_escola LIKE '70%' THEN NULL ELSE co_municipio END AS co_municipio, CASE WHEN id_escola LIKE '71%' THEN 'outro' ELSE id_municipio END AS id_municipio,
+            CASE WHEN id_escola LIKE '60%' THEN 'curta' ELSE id_escola END AS id_escola) FROM matched),
+        e AS (SELECT * FROM altered UNION ALL SELECT * FROM altered WHERE id_escola LIKE '41%')
+        SELECT 'duplicidade_dim_municipio' AS validacao, (SELECT count(*) FROM (SELECT 1 FROM p GROUP BY id_municipio HAVING count(*) > 1)) AS divergencias
+        UNION ALL SELECT 'duplicidade_dim_escola', (SELECT count(*) FROM (SELECT 1 FROM e GROUP BY id_escola HAVING count(*) > 1))
+        UNION ALL SELECT 'duplicidade_fato_rendimento_escolar', (SELECT count(*) FROM (SELECT 1 FROM f GROUP BY ano, co_entidade HAVING count(*) > 1))
+        UNION ALL SELECT 'nulos_dim_municipio', (SELECT count(*) FROM p WHERE id_municipio IS NULL OR co_municipio IS NULL)
+        UNION ALL SELECT 'nulos_dim_escola', (SELECT count(*) FROM e WHERE id_escola IS NULL OR co_entidade IS NULL)
+        UNION ALL SELECT 'nulos_fato_rendimento_escolar', (SELECT count(*) FROM f WHERE co_entidade IS NULL OR id_escola IS NULL)
+        UNION ALL SELECT 'hash_dim_municipio_id_municipio', (SELECT count(*) FROM p WHERE length(id_municipio) <> 64)
+        UNION ALL SELECT 'hash_dim_escola_id_escola', (SELECT count(*) FROM e WHERE length(id_escola) <> 64)
+        UNION ALL SELECT 'hash_dim_escola_id_municipio', (SELECT count(*) FROM e WHERE length(id_municipio) <> 64)
+        UNION ALL SELECT 'hash_fato_rendimento_escolar_id_escola', (SELECT count(*) FROM f WHERE length(id_escola) <> 64)
+        UNION ALL SELECT 'hash_fato_rendimento_escolar_id_municipio', (SELECT count(*) FROM f WHERE length(id_municipio) <> 64)
+        UNION ALL SELECT 'municipio_identificado_dim_escola', (SELECT count(*) FROM e WHERE id_municipio IS NOT NULL AND co_municipio IS NULL)
+        UNION ALL SELECT 'correspondencia_municipal_escola', (SELECT count(*) FROM e WHERE co_municipio IS NOT NULL AND times <> 1)
+        UNION ALL SELECT 'taxas_fora_faixa', (SELECT count(*) FROM f WHERE isnan(tap_fun) OR tap_fun < 0 OR tap_fun > 100)
+        UNION ALL SELECT 'hash_conteudo_anterior_dim_escola', (SELECT count(*) FROM e JOIN schools b USING (id_escola)
+            WHERE upper(b.no_entidade) <> e.no_entidade OR e.co_entidade IS DISTINCT FROM b.co_entidade OR e.co_municipio IS DISTINCT FROM b.co_municipio)
+        UNION ALL SELECT 'hash_conteudo_anterior_dim_municipio', (SELECT count(*) FROM p JOIN places b USING (id_municipio)
+            WHERE (id_municipio LIKE '8%' AND p.sg_uf <> 'ZZ') OR p.co_municipio IS DISTINCT FROM b.co_municipio)
+        UNION ALL SELECT 'fk_municipio_escola', (SELECT count(*) FROM e WHERE id_municipio IS NOT NULL AND id_municipio NOT IN (SELECT id_municipio FROM p))
+        UNION ALL SELECT 'fk_escola_fato', (SELECT count(*) FROM f WHERE id_escola IS NOT NULL AND id_escola NOT IN (SELECT id_escola FROM e))
+        UNION ALL SELECT 'fk_escola_codigo_fato', (SELECT count(*) FROM f WHERE id_escola IS NOT NULL AND co_entidade IS NOT NULL
+            AND NOT EXISTS (SELECT 1 FROM e WHERE e.id_escola = f.id_escola AND e.co_entidade = f.co_entidade))
+        UNION ALL SELECT 'fk_municipio_fato', (SELECT count(*) FROM f WHERE id_municipio IS NOT NULL AND id_municipio NOT IN (SELECT id_municipio FROM p))
+        UNION ALL SELECT 'atributos_fato_escola', (SELECT count(*) FROM f JOIN e USING (id_escola) WHERE {" OR ".join(
+            f"f.{c} IS DISTINCT FROM e.{c}" for c in ["id_municipio", *SCHOOL])})
+        UNION ALL SELECT 'duplicidade_catalogo_metricas', 3 UNION ALL SELECT 'nulos_catalogo_metricas', 18 UNION ALL SELECT 'periodo_catalogo_metricas', 1
+        UNION ALL SELECT 'catalogo_incompativel', 2 * 18 + 2 + 3""",
     "counts_summary": f"""{star()}
         SELECT (SELECT count(*) FROM places) AS quantidade_municipios, (SELECT count(*) FROM schools) AS quantidade_escolas,
             CAST(270 AS BIGINT) AS quantidade_metricas_catalogo, count(*) AS quantidade_linhas, min(ano) AS ano_minimo,

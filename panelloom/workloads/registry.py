@@ -13,11 +13,11 @@ from panelloom.functions.numbers import decimal_point, out_of_range, parse_numbe
 from panelloom.functions.text import padded, strip
 from panelloom.operators import analytic, audit, catalog, checks, headers, sheets, views
 from panelloom.operators.checks import CATALOGUE, COLUMNS, ENTITIES, FACT, PLACES
-from panelloom.operators.typing_rules import FLAGS
+from panelloom.operators.typing_rules import type_rows
 from panelloom.plans.load import publication_views, published_columns, staged_tables
 from panelloom.plans.scratch import keep_table
 from panelloom.sources import files
-from panelloom.workloads.derived import RATES, cell_grid, panel_history, table, typed_panel
+from panelloom.workloads.derived import PANEL, RATES, cell_grid, panel_history, panel_rows, table, typed_panel
 
 C = SCHOOL_RATES
 GIVEN_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -42,8 +42,15 @@ def panel_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def panel_breaches(spark: SparkSession, folder: str) -> DataFrame:
-    """How many rows break the input contract."""
-    return audit.contract_breaches(audit.history_groups(typed_panel(spark, folder))).select(
+    """How many rows break the input contract, in files with rows of other years, words as rates of
+    schools, and place codes stored as numbers."""
+    order = F.col("o_orderkey")
+    rows = panel_rows(spark, folder).withColumn("tre_fun", F.when(order % 89 == 0, "texto").otherwise(F.col("tre_fun")))
+    file_year = F.col("y") + F.when(order % 97 == 0, 1).otherwise(0)
+    numeric = rows.where(order % 10 == 0).withColumn("co_municipio", F.col("co_municipio").cast("long"))
+    columns = C.history_columns([PANEL])
+    typed = [type_rows(part, columns, file_year, order) for part in (rows.where(order % 10 != 0), numeric)]
+    return audit.contract_breaches(audit.history_groups(typed[0].unionByName(typed[1]))).select(
         "ano", "anos_divergentes", "codigos_numericos", "taxas_textuais_escola")
 
 
@@ -97,26 +104,48 @@ def _star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def star_checks(spark: SparkSession, folder: str) -> DataFrame:
-    """I1-I4 on a star with some entity versions missing and some place codes changed."""
+    """I1-I4 on a star in which every rule is broken."""
     star = _star(spark, folder)
-    entities = star[ENTITIES].where(~F.col("id_escola").startswith("0"))
-    places = star[PLACES].withColumn("co_municipio", F.when(F.col("id_municipio").startswith("f"), "outro")
-                                     .otherwise(F.col("co_municipio")))
-    return checks.integrity_checks(star[FACT], entities, places)
+    entities = _changed(star[ENTITIES].where(~F.col("id_escola").startswith("0")), "id_escola", {
+        "co_entidade": [("f", "outro"), ("d1", None)], "id_escola": [("d2", None)]})
+    entities = entities.unionAll(entities.where(F.col("id_escola").startswith("e1")))
+    places = _changed(star[PLACES].where(~F.col("id_municipio").startswith("0")), "id_municipio", {
+        "co_municipio": [("f", "outro"), ("d1", None)], "id_municipio": [("d2", None)]})
+    places = places.unionAll(places.where(F.col("id_municipio").startswith("e")))
+    fact = _changed(star[FACT], "id_escola", {"id_municipio": [("c1", None)], "id_escola": [("c2", None)]})
+    return checks.integrity_checks(fact, entities, places)
+
+
+def _changed(rows: DataFrame, key: str, faults: dict[str, list[tuple[str, object]]]) -> DataFrame:
+    """Other values in columns of the rows whose key starts in a certain way."""
+    for column, changes in faults.items():
+        value = F.col(column)
+        for start, new in changes:
+            value = F.when(F.col("_chave").startswith(start), F.lit(new).cast(dict(rows.dtypes)[column])).otherwise(value)
+        rows = rows.withColumn("_chave", F.col(key) if "_chave" not in rows.columns else F.col("_chave")).withColumn(column, value)
+    return rows.drop("_chave")
 
 
 def load_checks(spark: SparkSession, folder: str) -> DataFrame:
-    """J8, J10-J18, J26 on a staged publication with faults in each table."""
+    """J8, J10-J18, J26 on a staged publication in which every rule is broken."""
     star = _star(spark, folder)
-    low = F.when(F.col("id_escola").startswith("1"), F.lit(-1.0)).otherwise(F.col("tap_fun"))
-    moved = F.when(F.col("id_escola").startswith("2"), "Divergente").otherwise(F.col("no_entidade"))
-    staged = staged_tables({
-        **star,
-        FACT: star[FACT].withColumn("tap_fun", low).withColumn("no_entidade", moved),
-        ENTITIES: star[ENTITIES].where(~F.col("id_escola").startswith("3")),
-        PLACES: star[PLACES].where(~F.col("id_municipio").startswith("4"))})
-    staged[ENTITIES] = keep_table(staged[ENTITIES], "escolas-casadas")
-    previous = {ENTITIES: star[ENTITIES].withColumn("no_entidade", F.upper("no_entidade")), PLACES: star[PLACES]}
+    fact = _changed(star[FACT], "id_escola", {
+        "tap_fun": [("1", -1.0), ("80", float("nan")), ("90", float("inf")), ("91", 100.5)], "no_entidade": [("2", "Divergente")], "co_entidade": [("a0", None)],
+        "id_municipio": [("d0", "curto")], "id_escola": [("b0", None), ("c0", "curta")]})
+    fact = fact.unionAll(fact.where(F.col("id_escola").startswith("e0")))
+    places = _changed(star[PLACES].where(~F.col("id_municipio").startswith("4")), "id_municipio", {
+        "co_municipio": [("6", None)], "id_municipio": [("7", "curto")]})
+    places = places.unionAll(places.where(F.col("id_municipio").startswith("5")))
+    staged = staged_tables({CATALOGUE: star[CATALOGUE], FACT: fact, PLACES: places, ENTITIES: star[ENTITIES].where(~F.col("id_escola").startswith("3"))})
+    entities = _changed(staged[ENTITIES], "id_escola", {
+        "co_entidade": [("50", None)], "co_municipio": [("70", None)], "id_municipio": [("71", "outro")], "id_escola": [("60", "curta")]})
+    staged[ENTITIES] = keep_table(entities.unionAll(entities.where(F.col("id_escola").startswith("41"))), "escolas-casadas")
+    first = F.col("ano_inicio") == 2007
+    catalogue = star[CATALOGUE].withColumn("ano_fim", F.when(first & (F.col("codigo_original") == "tap_medio"), 2000).otherwise(F.col("ano_fim")))
+    catalogue = catalogue.withColumn("descricao", F.when(~first | ~F.col("codigo_original").startswith("tre_"), F.col("descricao")))
+    staged[CATALOGUE] = catalogue.unionAll(catalogue.where(F.col("ano_inicio") == 2011).limit(3))
+    previous = {ENTITIES: star[ENTITIES].withColumn("no_entidade", F.upper("no_entidade")),
+                PLACES: _changed(star[PLACES], "id_municipio", {"sg_uf": [("8", "ZZ")]})}
     return checks.load_checks(staged, catalog.metric_catalogue(spark), previous)
 
 
