@@ -70,7 +70,10 @@ VALID = {"email": lambda v: F.lit(True), "ip": lambda v: v.rlike(IP_IN_RANGE),
          "card": lambda v: let(_digits(v), lambda d: F.when(F.length(d).between(14, 19), _luhn(d)).otherwise(False)),
          "phone": lambda v: F.length(_digits(v)).between(10, 15)}
 NORMAL = {"email": F.lower, "ip": lambda v: v, "card": _digits, "phone": _digits}
-_SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,entity:bigint>>"
+# What an entity belongs to: the domain, the network, the issuer, the area.
+BROADER = {"email": lambda v: F.substring_index(F.lower(v), "@", -1), "ip": lambda v: F.substring_index(v, ".", 3),
+           "card": lambda v: F.substring(_digits(v), 1, 6), "phone": lambda v: F.substring(_digits(v), 1, 5)}
+_SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,entity:bigint,broader:bigint>>"
 
 
 def spans_of(text: Column, kind: str, rank: int) -> Column:
@@ -78,7 +81,7 @@ def spans_of(text: Column, kind: str, rank: int) -> Column:
     found = F.filter(located(text, KINDS[kind]), lambda m: VALID[kind](m["value"]))
     spans = F.transform(found, lambda m: F.struct(
         m["start"].alias("start"), F.lit(rank).alias("rank"), m["end"].alias("end"), F.lit(kind).alias("kind"),
-        F.xxhash64(F.lit(kind), NORMAL[kind](m["value"])).alias("entity")))
+        F.xxhash64(F.lit(kind), NORMAL[kind](m["value"])).alias("entity"), F.xxhash64(F.lit(f"{kind} of"), BROADER[kind](m["value"])).alias("broader")))
     hint = text.contains("@") if kind == "email" else text.rlike(HINTS[kind])
     return F.when(hint, spans).otherwise(F.array().cast(_SPAN))
 
@@ -100,7 +103,7 @@ def contexts(text: Column, spans: Column) -> Column:
         left = F.least(F.greatest(floor, s["start"] - CONTEXT), s["start"])
         after = F.when(i + 1 < F.size(spans), F.element_at(spans, F.least(i + 2, F.size(spans)))["start"]).otherwise(F.length(text))
         right = F.greatest(F.least(after, s["end"] + CONTEXT), s["end"])
-        side = [F.struct(s["entity"].alias("entity"), F.substring(text, (at + 1).cast("int"), (to - at).cast("int")).alias("piece"), at.alias("at"),
+        side = [F.struct(s["entity"].alias("entity"), s["broader"].alias("broader"), F.substring(text, (at + 1).cast("int"), (to - at).cast("int")).alias("piece"), at.alias("at"),
                          first.alias("cut_first"), last.alias("cut_last"))
                 for at, to, first, last in ((left, s["start"], left > floor, F.lit(False)), (s["end"], right, F.lit(False), right < after))]
         return F.array(*side)
@@ -109,15 +112,19 @@ def contexts(text: Column, spans: Column) -> Column:
 
 
 def context_terms(rows: DataFrame) -> DataFrame:
-    """(content, entity, term, start, end) of every whole word near a mention; a word cut off is left out."""
+    """(content, entity, term) of every whole word near a mention, for the entity and for what it belongs to."""
     pieces = (rows.where(F.size("sides") > 0).select("content", F.explode("sides").alias("side"))
               .select("content", "side.*").where(F.length("piece") > 0))
-    found = pieces.select("content", "entity", "at", "cut_first", "cut_last", F.length("piece").alias("size"),
+    found = pieces.select("content", "entity", "broader", "cut_first", "cut_last", F.length("piece").alias("size"),
                           F.explode(located(F.col("piece"), TERM)).alias("t"))
     whole = ~((F.col("cut_first") & (F.col("t.start") == 0)) | (F.col("cut_last") & (F.col("t.end") == F.col("size"))))
     return found.where(whole & (F.length("t.value") > 1)).select(
-        "content", "entity", F.xxhash64(F.lower("t.value")).alias("term"), (F.col("at") + F.col("t.start")).alias("start"),
-        (F.col("at") + F.col("t.end")).alias("end"))
+        "content", F.explode(F.array("entity", "broader")).alias("entity"), F.xxhash64(F.lower("t.value")).alias("term"))
+
+
+def terms_of(text: Column) -> Column:
+    """The distinct terms of a text, however far they stand from anything."""
+    return F.transform(F.filter(F.array_distinct(F.split(F.lower(text), BREAKS)), lambda w: F.length(w) > 1), lambda w: F.xxhash64(w))
 
 
 def disclosed_terms(text: Column, spans: Column, removed: Column, generalised: Column) -> Column:
@@ -139,36 +146,53 @@ def disclosed_terms(text: Column, spans: Column, removed: Column, generalised: C
     return F.flatten(F.transform(F.transform(F.sequence(F.lit(0), F.size(spans)), between), marked))
 
 
-def disclosing(occurrences: DataFrame, docs: DataFrame, generalise: float, remove: float) -> DataFrame:
-    """(entity, term, action) of the terms that reveal an entity.
+def shares(pairs: DataFrame, entities: DataFrame, terms: DataFrame, total: float) -> DataFrame:
+    """(entity, term, share): the pointwise information PMI(entity; term) = log2(n(e,t) N / (n(e) n(t))) as a share of the
+    entity's own information IC = log2(N / n(e)).  A pair that only one text has gives no estimate."""
+    # Words that lie near several mentions of one entity can be counted more often than they occur.
+    known = pairs.where("low < high").join(terms, "term").join(entities, "entity").withColumn("n_pair", F.least("n_pair", "n_term"))
+    own = F.log2(F.lit(float(total)) / F.col("n_entity"))
+    shared = F.log2(F.col("n_pair") * float(total) / (F.col("n_entity").cast("double") * F.col("n_term")))
+    return known.select("entity", "term", F.when(own > 0, shared / own).otherwise(F.lit(0.0)).alias("share"))
+
+
+def disclosing(occurrences: DataFrame, mentions: DataFrame, rows: DataFrame, docs: DataFrame, generalise: float, remove: float) -> DataFrame:
+    """(entity, term, action) of the terms that reveal an entity, or what it belongs to.
 
-    With counts over the whole corpus, the pointwise information PMI(entity; term) = log2(n(e,t) N /
-    (n(e) n(t))) is compared with the entity's own information IC = log2(N / n(e)): at the share
-    ``generalise`` of it a term is generalised, at ``remove`` it is removed.  n(e,t) counts the term near
-    the entity, n(e) all words near it, n(t) the term anywhere, N all words.  A pair that only one text
-    has gives no estimate.
+    Two estimates over the whole corpus, of which the higher counts.  Near: n(e,t) counts the term near the
+    entity, n(e) all words near it, n(t) the term anywhere, N all words.  Far: the same in texts that have the term,
+    the entity or both, wherever they stand.  At the share ``generalise`` of an entity's information a term is
+    generalised, at ``remove`` it is removed.
+
+    An entity that one text alone mentions has no estimate of its own: what is known of it is backed off to what it
+    belongs to (a domain, network, issuer or area), an entity like others that more texts mention.
     """
+    def told(pairs: DataFrame, rows: Column) -> DataFrame:
+        return pairs.groupBy("entity", "term").agg(F.sum(rows).alias("n_pair"), F.min("content").alias("low"), F.max("content").alias("high"))
+
+    one = F.lit(1)
     words = (docs.select(F.explode(F.split(F.lower("text"), BREAKS)).alias("w")).where(F.length("w") > 1)
-             .groupBy(F.xxhash64("w").alias("term")).agg(F.count(F.lit(1)).alias("n_term")))
-    pairs = (occurrences.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair"), F.min("content").alias("low"), F.max("content").alias("high")))
-    entities = occurrences.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+             .groupBy(F.xxhash64("w").alias("term")).agg(F.count(one).alias("n_term")))
     words = keep_table(words, "pii-words")
-    total = words.agg(F.sum("n_term")).first()[0] or 1
-    known = (pairs.where("low < high").join(words, "term").join(entities, "entity")
-             # Words that lie near several mentions of one entity can be counted more often than they occur.
-             .withColumn("n_pair", F.least("n_pair", "n_term")))
-    own = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    shared = F.log2(F.col("n_pair") * float(total) / (F.col("n_entity").cast("double") * F.col("n_term")))
-    return (known.withColumn("share", F.when(own > 0, shared / own).otherwise(F.lit(0.0))).where(F.col("share") >= generalise)
-            .select("entity", "term", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action")))
+    near = shares(told(occurrences, one), occurrences.groupBy("entity").agg(F.count(one).alias("n_entity")), words,
+                  words.agg(F.sum("n_term")).first()[0] or 1)
+
+    texts = keep_table(docs.select(F.explode(terms_of(F.col("text"))).alias("term")).groupBy("term").agg(F.count(one).alias("n_term")), "pii-texts")
+    held = rows.where(F.size("spans") > 0).groupBy("content").agg(F.count(one).alias("times"), F.first("text").alias("text"))
+    held = held.select("content", "times", F.explode(terms_of(F.col("text"))).alias("term"))
+    both = held.join(mentions, "content")
+    whole = mentions.join(rows.where(F.size("spans") > 0).groupBy("content").agg(F.count(one).alias("times")), "content")
+    far = shares(told(both, F.col("times")), whole.groupBy("entity").agg(F.sum("times").alias("n_entity")), texts, docs.count() or 1)
+    share = near.unionByName(far).groupBy("entity", "term").agg(F.max("share").alias("share")).where(F.col("share") >= generalise)
+    return share.select("entity", "term", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action"))
 
 
 def sanitise(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """doc_id, base (base spans) and added (term spans with their action), one row per document row.
 
-    Base spans are the personal data found by pattern.  Added spans are the terms that disclose an entity,
-    judged by the words near its mentions in the whole corpus, wherever they stand in a text that mentions
-    it.  NULL and empty texts have no spans.  Rows with equal texts
+    Base spans are the personal data found by pattern.  Added spans are the terms that disclose an entity or what
+    it belongs to, judged by the words near its mentions and by the texts that mention it in the whole corpus,
+    wherever they stand in a text that mentions it.  NULL and empty texts have no spans.  Rows with equal texts
     get equal spans; they count each in the corpus.  Rows with equal or NULL ids are separate rows.
     Further columns of the input are ignored.
     """
@@ -176,15 +200,16 @@ def sanitise(docs: DataFrame, generalise: float = GENERALISE, remove: float = RE
     rows = docs.select("doc_id", text.alias("text")).withColumn("spans", base_spans(F.col("text")))
     # A one-row generate keeps the optimizer from computing the spans once for every later use.
     rows = rows.select("doc_id", F.explode(F.array(F.struct("text", "spans"))).alias("r")).select("doc_id", "r.text", "r.spans")
-    none = F.array().cast("array<struct<entity:bigint,piece:string,at:bigint,cut_first:boolean,cut_last:boolean>>")
+    none = F.array().cast("array<struct<entity:bigint,broader:bigint,piece:string,at:bigint,cut_first:boolean,cut_last:boolean>>")
     some = F.size("spans") > 0
     # Texts without mentions meet nobody: their key is their own id's.
     key = F.when(some, F.sha2("text", 256)).otherwise(F.concat(F.lit("#"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     rows = keep_table(rows.select("doc_id", key.alias("content"), "spans", F.when(some, F.col("text")).alias("text"),
                                   F.when(some, contexts(F.col("text"), F.col("spans"))).otherwise(none).alias("sides")), "pii-rows")
     occurrences = keep_table(context_terms(rows), "pii-terms")
-    known = disclosing(occurrences, docs, generalise, remove)
-    mentions = rows.where(some).select("content", F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity")).distinct()
+    mentions = F.array_distinct(F.concat(F.transform("spans", lambda s: s["entity"]), F.transform("spans", lambda s: s["broader"])))
+    mentions = keep_table(rows.where(some).select("content", F.explode(mentions).alias("entity")).distinct(), "pii-mentions")
+    known = disclosing(occurrences, mentions, rows, docs, generalise, remove)
     # A term may be removed for one entity and generalised for another: removal wins.
     wanted = (mentions.join(known, "entity").groupBy("content")
               .agg(F.collect_set(F.when(F.col("action") == "remove", F.col("term"))).alias("removed"),
