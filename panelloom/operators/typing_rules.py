@@ -25,14 +25,6 @@ _YEAR = "_ano_do_arquivo"
 _UNREAD = "_taxas_nao_lidas"
 
 
-def history_schema(columns: Sequence[str], contract: Contract = SCHOOL_RATES) -> T.StructType:
-    def data_type(column: str) -> T.DataType:
-        if column == contract.year:
-            return T.IntegerType()
-        return T.DoubleType() if contract.is_rate(column) else T.StringType()
-    return T.StructType([T.StructField(c, data_type(c)) for c in columns])
-
-
 def type_rows(rows: DataFrame, columns: Sequence[str], file_year: Column, order: Column,
               contract: Contract = SCHOOL_RATES) -> DataFrame:
     """Rows of files that share one schema, in the types and order of the history.

@@ -93,7 +93,7 @@ def panel_rows(spark: SparkSession, folder: str, per_customer: bool = False) ->
         "fonte_aba": F.lit("ESCOLAS"),
         "observador": F.when(order % 2 == 0, F.lit("  ")).otherwise(F.concat(F.lit("o"), (order % 10).cast("string"))),
     }
-    return rows.select(*[values[c].alias(c) for c in PANEL], "y", "o_orderkey")
+    return rows.select(*[values[c].alias(c) for c in PANEL], "y", "o_orderkey", "c_custkey")
 
 
 def typed_panel(spark: SparkSession, folder: str, per_customer: bool = False) -> DataFrame:
@@ -120,8 +120,8 @@ REGION_SHEETS = ["Norte", "Nordeste", "Sudeste", "Sul", "Centro-Oeste"]
 def cell_grid(spark: SparkSession, folder: str) -> DataFrame:
     """One file per year; five regional sheets before 2018, ``ESCOLAS`` beside ``Notas`` after."""
     rows = panel_rows(spark, folder, per_customer=True)
-    customer = F.try_to_number(F.regexp_extract("no_entidade", r"#(\d+)", 1), F.lit("999999999")).cast("int")
-    region = F.pmod(customer, F.lit(5))
+    customer = F.col("c_custkey")
+    region = F.pmod(customer, F.lit(5)).cast("int")
     old = F.col("y") < 2018
     regions = F.array(*[F.lit(r) for r in REGION_SHEETS])
     year_cell = F.when(customer % 41 == 0, "--").when(customer % 5 != 0, F.col("y").cast("string"))
@@ -135,7 +135,7 @@ def cell_grid(spark: SparkSession, folder: str) -> DataFrame:
         (customer + 3).alias("row_idx"), cells.alias("cells"), old.alias("old"))
 
     def line(number: int, values: Column) -> Column:
-        return F.struct(F.lit(number).alias("row_idx"), values.alias("cells"))
+        return F.struct(F.lit(number).cast("long").alias("row_idx"), values.alias("cells"))
 
     def texts(values: list[str | None]) -> Column:
         return F.array(*[F.lit(v).cast("string") for v in values])
