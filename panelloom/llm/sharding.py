@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import groupby
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import keep_table
+from panelloom.llm.common import gapless_rank, in_arrow, keep_table
 
-RESOLUTION = 256
 SLICES = 256
 
 
@@ -88,86 +90,119 @@ class FreeSpace:
         return best
 
 
+def packed_runs(sizes: Sequence[tuple[int, int]], capacity: int, most: int | None = None) -> list[tuple[int, int]] | None:
+    """Best-fit-decreasing of (size, number of items) in descending order of size, as (bin, number of items) in turn.
+
+    Items of one size are interchangeable.  The tightest bin that takes one stays the tightest for the next of
+    that size until it takes no more, so a run of equal items enters a bin at once and the result is that of
+    single items.  Bins are opened only when nothing fits; None if more than ``most`` are needed.
+    """
+    free, runs, opened = FreeSpace(), [], 0
+    for size, number in sizes:
+        while number:
+            spot = free.tightest(size)
+            if spot is None:
+                if opened == most:
+                    return None
+                spot, opened = (capacity, opened), opened + 1
+            else:
+                free.remove(spot)
+            entered = min(number, spot[0] // size) if size else number
+            runs.append((spot[1], entered))
+            free.insert((spot[0] - size * entered, spot[1]))
+            number -= entered
+    return runs
+
+
 def best_fit_decreasing(sizes: Sequence[int], capacity: int) -> list[int]:
-    """The bin of each size.  ``sizes`` come in descending order; bins are opened only when nothing fits."""
-    free, bins, opened = FreeSpace(), [], 0
-    for size in sizes:
-        spot = free.tightest(size)
-        if spot is None:
-            spot, opened = (capacity, opened), opened + 1
-        else:
-            free.remove(spot)
-        bins.append(spot[1])
-        free.insert((spot[0] - size, spot[1]))
-    return bins
+    """The bin of each of the descending sizes."""
+    equal = [(size, len(list(items))) for size, items in groupby(sizes)]
+    return [b for b, entered in packed_runs(equal, capacity) for _ in range(entered)]
 
 
-def pack(sizes: Sequence[int], shards: int) -> list[int]:
-    """The shard of each of the descending sizes, for the smallest capacity that needs no more shards.
+def pack(sizes: Sequence[tuple[int, int]], shards: int) -> list[tuple[int, int]]:
+    """(shard, number of items) in turn over descending (size, number of items), for the smallest capacity
+    found by bisection that needs no more than ``shards``.
 
-    A size above the even share gets a shard of its own, and the others are packed into the rest.
+    An item above the even share of what is left gets a shard of its own, and the others are packed into the rest.
     """
-    alone = 0
-    rest = sum(sizes)
-    while alone < min(len(sizes), shards - 1) and sizes[alone] * (shards - alone) > rest:
-        rest -= sizes[alone]
+    others, alone = list(sizes), 0
+    rest = sum(size * number for size, number in others)
+    while others and alone < shards - 1 and others[0][0] * (shards - alone) > rest:
+        size, number = others.pop(0)
+        rest -= size
         alone += 1
-    others, left = sizes[alone:], shards - alone
+        if number > 1:
+            others.insert(0, (size, number - 1))
+    own, left = [(k, 1) for k in range(alone)], shards - alone
     if not others:
-        return list(range(len(sizes)))
-    low, high = max(others[0], -(-rest // left)), max(others[0], -(-rest // left)) + others[0]
-    while max(best_fit_decreasing(others, high)) >= left:
+        return own
+    low = max(others[0][0], -(-rest // left))
+    high = low + others[0][0]
+    while (best := packed_runs(others, high, left)) is None:
         high *= 2
     while low < high:
         middle = (low + high) // 2
-        if max(best_fit_decreasing(others, middle)) < left:
-            high = middle
-        else:
+        found = packed_runs(others, middle, left)
+        if found is None:
             low = middle + 1
-    return [*range(alone), *(alone + b for b in best_fit_decreasing(others, high))]
+        else:
+            high, best = middle, found
+    return own + [(alone + b, entered) for b, entered in best]
 
 
 def shard(docs: DataFrame, shards: int, group: Sequence[str], size: Column, order: Sequence[str],
-          carried: Sequence[str], resolution: int = RESOLUTION, slices: int = SLICES) -> DataFrame:
+          carried: Sequence[str], slices: int = SLICES) -> DataFrame:
     """The ``carried`` columns with `size`, `shard` (0 to shards - 1) and `slot` (gapless from 0 in each shard).
 
-    Rows of equal ``group`` values (NULL equals NULL) stay together.  A group above 1/resolution of an
-    even shard is packed by itself: there are at most shards x resolution of those.  Smaller groups are
-    dealt by hash into shards x resolution lots, and a lot is packed as one item.  So the packing sees a
-    number of items that two parameters bound, whatever the input, and a group is never divided.  Shards
-    come out even to about one lot; a group above the even share fills a shard of its own, which then
-    is the largest by necessity.
+    Rows of equal ``group`` values (NULL equals NULL) stay together, and a group is never divided.  Every group
+    takes part in the packing: the driver packs (size, number of groups), and groups, ranked by descending size
+    without gathering them, take the places of their rank.  Different sizes add up to at least half their
+    number's square, so a table of T bytes sends at most sqrt(2 T) rows to the driver.  A group above the
+    even share fills a shard of its own, which then is the largest by necessity.
 
     Slots are the rows of the shard's earlier slices, plus the position in ``order`` within the slice;
-    no task numbers a whole shard.  Empty input gives no rows; input columns named `size`, `shard` or
-    `slot` are replaced.  The ``group`` columns are text.
+    no task numbers a whole shard.  Only narrow rows are ranked and numbered, the carried columns travel once.
+    A NULL or negative size is packed as 0 and given as it is.  Empty input gives no rows; input columns named
+    `size`, `shard` or `slot` are replaced.  The ``group`` columns are text.
     """
-    lots = shards * resolution
     # Length before content keeps neighbouring values apart; NULL has no length.
     values = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in group]
     name = F.sha2(F.concat(*values), 256)
+    keys = [f"_o{i}" for i in range(len(order))]
     plain = [c for c in carried if c not in ("size", "shard", "slot")]
+    # Written with its row numbers, so that a repeated task finds the same ones.
     rows = keep_table(docs.select(*plain, size.cast("long").alias("size"), F.unhex(name).alias("_group"),
-                                  *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
-                      .withColumn("_slice", F.pmod(F.xxhash64("_group", *[f"_o{i}" for i in range(len(order))]), F.lit(slices))),
-                      "shard-rows")
-    groups = keep_table(rows.groupBy("_group").agg(F.sum("size").alias("_size")), "shard-groups")
-    total = groups.agg(F.sum("_size")).first()[0] or 0
-    large = F.col("_size") * lots > total
-    lot = F.pmod(F.xxhash64("_group"), F.lit(lots))
-    singles = [(bytes(r[0]), -1, r[1]) for r in groups.where(large).collect()]
-    lumps = [(None, r[0], r[1]) for r in groups.where(~large).groupBy(lot.alias("lot")).agg(F.sum("_size")).collect()]
-    items = sorted(singles + lumps, key=lambda x: (-x[2], x[1], x[0] or b""))
-    placed = pack([x[2] for x in items], shards)
-    spark = docs.sparkSession
-    own = spark.createDataFrame([(bytearray(g), s) for (g, _, _), s in zip(items, placed) if g is not None],
-                                "_group binary, _own int")
-    by_lot = spark.createDataFrame([(n, s) for (g, n, _), s in zip(items, placed) if g is None], "_lot long, _shared int")
-    put = (rows.join(F.broadcast(own), "_group", "left").withColumn("_lot", lot)
-           .join(F.broadcast(by_lot), "_lot", "left").withColumn("shard", F.coalesce("_own", "_shared")))
+                                  *[F.col(c).alias(k) for c, k in zip(order, keys)], F.monotonically_increasing_id().alias("_row"))
+                      .withColumn("_slice", F.pmod(F.xxhash64("_group", *keys), F.lit(slices))), "shard-rows")
+    weight = F.greatest(F.coalesce("size", F.lit(0)), F.lit(0))
+    groups = rows.groupBy("_group").agg(F.sum(weight).alias("_size"))
+    ranked = keep_table(gapless_rank(groups, [F.col("_size").desc(), F.col("_group")], "_rank", "shard-groups"), "shard-ranks")
+    sizes = ranked.groupBy("_size").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    descending = sorted(zip(sizes.column(0).to_pylist(), sizes.column(1).to_pylist()), reverse=True)
+    placed = pack(descending, shards)
+    own = keep_table(_shards_of_ranks(ranked, placed), "shard-places")
+    put = rows.select("_row", "_group", "_slice", *keys).join(own, "_group")
     counts = put.groupBy("shard", "_slice").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("shard", "_slice", (F.sum("_n").over(Window.partitionBy("shard").orderBy("_slice"))
                                                - F.col("_n")).alias("_before"))
-    inner = F.row_number().over(Window.partitionBy("shard", "_slice").orderBy(*[f"_o{i}" for i in range(len(order))]))
-    return (put.withColumn("_inner", inner).join(F.broadcast(before), ["shard", "_slice"])
-            .select(*plain, "size", "shard", (F.col("_before") + F.col("_inner") - 1).alias("slot")))
+    inner = F.row_number().over(Window.partitionBy("shard", "_slice").orderBy(*keys, "_row"))
+    # At most shards x slices counts.
+    numbered = (put.withColumn("_inner", inner).join(F.broadcast(before), ["shard", "_slice"])
+                .select("_row", "shard", (F.col("_before") + F.col("_inner") - 1).alias("slot")))
+    return rows.select(*plain, "size", "_row").join(numbered, "_row").select(*plain, "size", "shard", "slot")
+
+
+def _shards_of_ranks(ranked: DataFrame, placed: list[tuple[int, int]]) -> DataFrame:
+    """(_group, shard): a rank belongs to the run of the packing it falls into."""
+    runs = np.array(placed, np.int64).reshape(-1, 2)
+    shared = ranked.sparkSession.sparkContext.broadcast((np.cumsum(runs[:, 1]), runs[:, 0].astype(np.int32)))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ends, shards = shared.value
+        for batch in batches:
+            ranks = batch.column(1).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shards[np.searchsorted(ends, ranks, side="right")])],
+                                             names=["_group", "shard"])
+
+    return in_arrow(ranked.select("_group", "_rank"), run, "_group binary, shard int")

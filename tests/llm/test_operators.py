@@ -449,6 +449,25 @@ def test_best_fit_matches_plain_search():
     assert sharding.best_fit_decreasing(sizes, 150) == bins
 
 
+def test_groups_are_packed_by_themselves(spark):
+    """The shards' loads are those of best-fit-decreasing over single groups, at the smallest capacity that suffices."""
+    random = np.random.default_rng(8)
+    sizes = [*random.integers(1, 60, 300).tolist(), *[25] * 200, 900, 5000, 0, None]
+    rows = spark.createDataFrame([(i, f"t{i}", s) for i, s in enumerate(sizes)], "doc_id long, text string, n long")
+    found = rows_of(sharding.shard(rows, 6, ["text"], F.col("n"), ["doc_id"], carried=["doc_id"]))
+    items = sorted((s or 0 for s in sizes), reverse=True)
+    share = [items[0]]
+    assert items[0] * 6 > sum(items) and items[1] * 5 <= sum(items[1:])
+    capacity = max(items[1], -(-sum(items[1:]) // 5))
+    while max(sharding.best_fit_decreasing(items[1:], capacity)) >= 5:
+        capacity += 1
+    loads = Counter()
+    for item, b in zip(items[1:], sharding.best_fit_decreasing(items[1:], capacity)):
+        loads[b] += item
+    assert sorted(found.fillna(0).groupby("shard")["size"].sum()) == sorted([*share, *loads.values()])
+    assert len(found) == len(sizes) and found["size"].isna().sum() == 1
+
+
 def test_globs():
     automaton = url_filter.ShiftAnd(["*.org/**", "a?c", "**/x/*", "q\\*z", "*" + "l" * 100])
     urls = [b".a.org/b", b".org", b"abc", b"abbc", b"/x/y", b"/x/y/z", b"q*z", b"qaz", b"", b"k" + b"l" * 100, b"http/.org/"]
