@@ -17,7 +17,8 @@ from panelloom.llm.common import (bit_of_digest, digest_bit, in_arrow, is_member
 WINDOW = 10
 # So many words of benchmark items are searched for at once; more are searched in further blocks.
 BLOCK_WORDS = 500_000
-SLOP = 10
+# A proximity match: a window's two rarest words at most SLOP words apart, and NEAR percent of its words in order around them.
+SLOP, NEAR = 10, 80
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
@@ -37,9 +38,12 @@ class Block:
                 self.names.append(name)
                 self.items.append(np.array(ids, np.int32))
 
-    def anchors(self, counts: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """(item, term, place, second term, second place): the two rarest words of every window,
-        by corpus count, once for neighbouring windows that share them."""
+    def anchors(self, counts: np.ndarray) -> list[tuple[int, ...]]:
+        """(item, term, place, second term, second place, first window, last window): the two rarest words of
+        every window, by corpus count, once for neighbouring windows that share them.
+
+        Windows that share them follow one another: a rarer word enters after both and leaves after both.
+        """
         found = {}
         for i, ids in enumerate(self.items):
             width = min(WINDOW, len(ids))
@@ -49,7 +53,8 @@ class Block:
             for start in range(len(ids) - width + 1):
                 order = np.argsort(rank[start:start + width]) + start
                 first, second = int(order[0]), int(order[min(1, width - 1)])
-                found[i, first, second] = (i, int(ids[first]), first, int(ids[second]), second)
+                opened = found[i, first, second][5] if (i, first, second) in found else start
+                found[i, first, second] = (i, int(ids[first]), first, int(ids[second]), second, opened, start)
         return list(found.values())
 
 
@@ -85,7 +90,7 @@ def term_counts(docs: DataFrame, block: Block) -> np.ndarray:
     return out
 
 
-def build_index(docs: DataFrame, block: Block, anchors: list[tuple[int, int, int, int, int]]) -> DataFrame:
+def build_index(docs: DataFrame, block: Block, anchors: list[tuple[int, ...]]) -> DataFrame:
     """doc_id, content (a digest of the words' text), n_words, and the postings of the anchor terms:
     terms with their positions, in the order of the text."""
     kind = dict(docs.dtypes)["doc_id"]
@@ -118,13 +123,13 @@ def postings(index: DataFrame) -> DataFrame:
             .select(F.col("p.terms").alias("term"), "content", F.col("p.positions").alias("position")))
 
 
-def _anchor_table(lists: DataFrame, anchors: list[tuple[int, int, int, int, int]]) -> DataFrame:
+def _anchor_table(lists: DataFrame, anchors: list[tuple[int, ...]]) -> DataFrame:
     """As many rows as BLOCK_WORDS at most, so its size is known before it is broadcast."""
-    return lists.sparkSession.createDataFrame([(k, *a) for k, a in enumerate(anchors)],
+    return lists.sparkSession.createDataFrame([(k, *a[:5]) for k, a in enumerate(anchors)],
                                               "pair int, item int, term1 int, place1 int, term2 int, place2 int")
 
 
-def phrase_candidates(lists: DataFrame, anchors: list[tuple[int, int, int, int, int]]) -> DataFrame:
+def phrase_candidates(lists: DataFrame, anchors: list[tuple[int, ...]]) -> DataFrame:
     """(content, item, shift): both lists of a window, adjusted by the words' places, meet at the shift."""
     pairs = _anchor_table(lists, anchors)
     first = (lists.join(F.broadcast(pairs), lists["term"] == pairs["term1"])
@@ -134,7 +139,7 @@ def phrase_candidates(lists: DataFrame, anchors: list[tuple[int, int, int, int,
     return first.join(second, ["pair", "content", "shift"], "left_semi").select("content", "item", "shift").distinct()
 
 
-def proximity_matches(lists: DataFrame, anchors: list[tuple[int, int, int, int, int]], slop: int = SLOP) -> DataFrame:
+def proximity_matches(lists: DataFrame, anchors: list[tuple[int, ...]], slop: int = SLOP) -> DataFrame:
     """(content, item, pair, near, far): the two rarest words of a window within ``slop`` words of each
     other, in any order; positions meet in cells of ``slop`` + 1 words and their neighbours."""
     pairs = _anchor_table(lists, anchors).where("place1 <> place2")
@@ -158,10 +163,42 @@ def aligned_runs(words: np.ndarray, item: np.ndarray, shift: int) -> list[tuple[
     return [(low + int(s), low + int(e)) for s, e in zip(turns[::2], turns[1::2]) if e - s >= width]
 
 
-def confirmed(docs: DataFrame, block: Block, candidates: DataFrame) -> DataFrame:
-    """content, runs (start, end) and item names of every text that holds a window, read from the text itself."""
+def common_in_order(window: list[int], stretch: list[int]) -> int:
+    """The length of the longest common subsequence; a bit per word of the window, a step per word of the stretch."""
+    places: dict[int, int] = {}
+    for i, word in enumerate(window):
+        places[word] = places.get(word, 0) | 1 << i
+    every = (1 << len(window)) - 1
+    open_ = every
+    for word in stretch:
+        met = open_ & places.get(word, 0)
+        open_ = ((open_ + met) | (open_ - met)) & every
+    return len(window) - open_.bit_count()
+
+
+def near_run(words: np.ndarray, item: np.ndarray, anchor: tuple[int, ...], at: int, slop: int) -> tuple[int, int] | None:
+    """The stretch (start, end) of ``words`` that is near a window of the ``anchor``, whose rarest word is met ``at``.
+
+    Searched are the places where the window lay if nothing were inserted, and ``slop`` words on both sides.
+    The stretch is trimmed to words of the window; of several windows it is the hull.
+    """
+    width, runs = min(WINDOW, len(item)), []
+    for start in range(anchor[5], anchor[6] + 1):
+        window = item[start:start + width]
+        low = max(0, at - (anchor[2] - start) - slop)
+        stretch = words[low:at - (anchor[2] - start) + width + slop]
+        if 100 * common_in_order(window.tolist(), stretch.tolist()) >= NEAR * width:
+            own = np.flatnonzero(np.isin(stretch, window))
+            runs.append((low + int(own[0]), low + int(own[-1]) + 1))
+    return (min(r[0] for r in runs), max(r[1] for r in runs)) if runs else None
+
+
+def confirmed(docs: DataFrame, block: Block, candidates: DataFrame, anchors: list[tuple[int, ...]], slop: int | None) -> DataFrame:
+    """content, runs (start, end) and item names, and those of proximity matches, of every text that holds a
+    window or comes near one, read from the text itself.  Candidates without a ``pair`` are shifts of phrases,
+    the others positions of a pair's rarest word."""
     bits = docs.sparkSession.sparkContext.broadcast(member_bits(candidates, digest_bit("content")))
-    shared = docs.sparkSession.sparkContext.broadcast(block)
+    shared = docs.sparkSession.sparkContext.broadcast((block, anchors))
     texts_of = pa.schema([("content", pa.binary()), ("text", pa.binary())])
 
     def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,26 +211,37 @@ def confirmed(docs: DataFrame, block: Block, candidates: DataFrame) -> DataFrame
             yield record(texts_of, [list(chosen), list(chosen.values())])
 
     texts = in_arrow(docs.select("text").where(F.col("text").isNotNull()), choose, "content binary, text binary").dropDuplicates(["content"])
-    wanted = candidates.groupBy("content").agg(F.collect_set(F.struct("item", "shift")).alias("places"))
-    out = pa.schema([("content", pa.binary()), ("runs", pa.list_(pa.list_(pa.int32()))), ("items", pa.list_(pa.string()))])
+    wanted = candidates.groupBy("content").agg(F.collect_set(F.struct("item", "pair", "place")).alias("places"))
+    spans, names_of = pa.list_(pa.list_(pa.int32())), pa.list_(pa.string())
+    out = pa.schema([("content", pa.binary()), ("runs", spans), ("items", names_of), ("near_runs", spans), ("near_items", names_of)])
 
     def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value.vocabulary
+        block, anchors = shared.value
+        known = block.vocabulary
         for batch in batches:
             rows = []
             for content, text, places in zip(batch.column(0), batch.column(1), batch.column(2)):
                 words = words_of(text.as_py())
                 ids = np.fromiter((known.get(w, -1) for w in words), np.int32, len(words))
-                runs, names = set(), set()
+                runs, names, near_runs, near_names = set(), set(), set(), set()
                 for place in places.as_py():
-                    found = aligned_runs(ids, shared.value.items[place["item"]], place["shift"])
-                    runs.update(found)
-                    names.update([shared.value.names[place["item"]]] if found else [])
-                if runs:
-                    rows.append((content.as_py(), sorted(map(list, runs)), sorted(names)))
-            yield record(out, [list(c) for c in zip(*rows)] if rows else [[], [], []])
+                    item, name = block.items[place["item"]], block.names[place["item"]]
+                    if place["pair"] is None:
+                        found = aligned_runs(ids, item, place["place"])
+                        runs.update(found)
+                        names.update([name] if found else [])
+                    elif near := near_run(ids, item, anchors[place["pair"]], place["place"], slop):
+                        near_runs.add(near)
+                        near_names.add(name)
+                if runs or near_runs:
+                    rows.append((content.as_py(), sorted(map(list, runs)), sorted(names), sorted(map(list, near_runs)), sorted(near_names)))
+            yield record(out, [list(c) for c in zip(*rows)] if rows else [[] for _ in out])
+
+    return in_arrow(texts.join(wanted, "content"), confirm, ", ".join(
+        ["content binary", *[f"{c} {kind}" for c, kind in FOUND.items()]]))
 
-    return in_arrow(texts.join(wanted, "content"), confirm, "content binary, runs array<array<int>>, items array<string>")
+
+FOUND = {"runs": "array<array<int>>", "items": "array<string>", "near_runs": "array<array<int>>", "near_items": "array<string>"}
 
 
 def covered(runs: Column) -> Column:
@@ -204,13 +252,18 @@ def covered(runs: Column) -> Column:
         F.greatest(acc["end"], run[1]).alias("end")), lambda acc: acc["n"])
 
 
-def search(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """doc_id, n_words, runs (covered word stretches) and items (matched item ids, as sorted text) per row.
+def search(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS, slop: int | None = None) -> DataFrame:
+    """doc_id, n_words, runs (covered word stretches) and items (matched item ids, as sorted text) per row, and
+    near_runs and near_items: proximity matches, the items without those matched by a whole window.
 
     For every block of items: corpus counts choose the two rarest words of each window, their postings
     are built and intersected at equal shifts, and texts at the meeting points are read again to confirm
     whole windows.  Equal texts are one entry of the index.
 
+    Proximity matches are searched for where ``slop`` is given: the same two postings at most ``slop`` words apart,
+    in any order, and then NEAR percent of the window's words in their order, with others between them, in the
+    stretch that `near_run` reads.  An item of one word has none.
+
     Texts without words, empty and NULL ones match nothing; items without words or with NULL text are
     skipped; items with equal ids count once; a NULL id counts as the empty one.  Rows with equal or
     NULL doc_id are separate rows.  An empty benchmark leaves every row clean.
@@ -221,23 +274,29 @@ def search(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS
             continue
         anchors = block.anchors(term_counts(docs, block))
         index = keep_table(build_index(docs, block, anchors), "decon-index")
-        candidates = keep_table(phrase_candidates(postings(index), anchors), "decon-candidates")
-        found = keep_table(confirmed(docs, block, candidates), "decon-hits")
+        # Two searches read written postings; a single one makes them in passing.
+        lists = postings(index) if slop is None else keep_table(postings(index), "decon-postings")
+        places = phrase_candidates(lists, anchors).select("content", "item", F.lit(None).cast("int").alias("pair"), F.col("shift").alias("place"))
+        if slop is not None:
+            near = proximity_matches(lists, anchors, slop).select("content", "item", "pair", F.col("near").alias("place"))
+            places = places.unionByName(near.distinct())
+        candidates = keep_table(places, "decon-candidates")
+        found = keep_table(confirmed(docs, block, candidates, anchors, slop), "decon-hits")
         base = index.select("doc_id", "content", "n_words") if base is None else base
         hits = found if hits is None else hits.unionByName(found)
     if base is None:
-        empty = Block([])
-        return (build_index(docs, empty, []).select("doc_id", "n_words", F.array().cast("array<array<int>>").alias("runs"),
-                                                    F.array().cast("array<string>").alias("items")))
-    merged = hits.groupBy("content").agg(F.flatten(F.collect_list("runs")).alias("runs"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-    none = F.array()
+        return (build_index(docs, Block([]), []).select("doc_id", "n_words", *[F.array().cast(kind).alias(c) for c, kind in FOUND.items()]))
+    merged = hits.groupBy("content").agg(*[F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in FOUND])
+    whole = {c: F.coalesce(c, F.array().cast(kind)) for c, kind in FOUND.items()}
     return (base.join(merged, "content", "left")
-            .select("doc_id", "n_words", F.coalesce("runs", none.cast("array<array<int>>")).alias("runs"),
-                    F.array_sort(F.coalesce("items", none.cast("array<string>"))).alias("items")))
+            .select("doc_id", "n_words", whole["runs"].alias("runs"), F.array_sort(whole["items"]).alias("items"),
+                    whole["near_runs"].alias("near_runs"),
+                    F.array_sort(F.array_except(whole["near_items"], whole["items"])).alias("near_items")))
 
 
 def op8_decontaminate(spark, folder: str) -> DataFrame:
-    found = search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    found = search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), slop=SLOP)
     n_hit = let(F.col("runs"), covered)
     return found.select("doc_id", "n_words", n_hit.cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("items") > 0).alias("contaminated"))
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("items") > 0).alias("contaminated"),
+                        F.size("near_items").cast("long").alias("n_near_items"), F.array_join("near_items", ",").alias("near_items"))

@@ -184,6 +184,54 @@ def test_proximity(spark, benchmark):
     assert [(r["near"], r["far"]) for r in decontaminate.proximity_matches(lists, anchors).collect()] == [(2, 0)]
 
 
+def test_proximity_matches_in_documents(spark):
+    """Against every window at every place, with inserted, swapped and replaced words; the rarest words by plain counts."""
+    random = np.random.default_rng(5)
+    items = [[f"i{n}w{k}" if k % 3 else f"c{(n + k) % 4}" for k in range(size)] for n, size in enumerate([30, 14, 10, 6, 2, 1])]
+    texts = []
+    for n, item in enumerate(items):
+        inserted = [w for k, word in enumerate(item) for w in ([word, "new"] if k % 9 == 8 else [word])]
+        replaced = ["other" if k % 9 == 4 else word for k, word in enumerate(item)]
+        half = ["other" if k % 2 else word for k, word in enumerate(item)]
+        for body in (item, inserted, replaced, half, item[::-1], item[:7] + ["x"] * 9 + item[7:]):
+            noise = [f"c{k}" for k in random.integers(0, 9, 40)]
+            texts.append(" ".join([*noise[:20], *body, *noise[20:]]))
+    docs = spark.createDataFrame([*enumerate(texts), (98, ""), (99, None)], "doc_id long, text string")
+    found = decontaminate.search(docs, spark.createDataFrame([(n, " ".join(w)) for n, w in enumerate(items)], "item_id long, text string"), slop=decontaminate.SLOP)
+
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+        return row[-1]
+
+    counts = Counter(w for t in texts for w in t.split())
+    order = list(dict.fromkeys(w for item in items for w in item))
+    expected = {98: (set(), set()), 99: (set(), set())}
+    for doc, text in enumerate(texts):
+        words, whole, near = text.split(), set(), set()
+        for n, item in enumerate(items):
+            width = min(10, len(item))
+            for start in range(len(item) - width + 1):
+                window = item[start:start + width]
+                if any(words[p:p + width] == window for p in range(len(words))):
+                    whole.add(str(n))
+                rare = sorted(range(width), key=lambda k: (counts[window[k]], order.index(window[k]), k))[:2]
+                if len(rare) == 2:
+                    for p in (p for p, w in enumerate(words) if w == window[rare[0]]):
+                        close = any(w == window[rare[1]] and 0 < abs(p - q) <= 10 for q, w in enumerate(words))
+                        stretch = words[max(0, p - rare[0] - 10):p - rare[0] + width + 10]
+                        if close and longest(window, stretch) * 10 >= 8 * width:
+                            near.add(str(n))
+        expected[doc] = (whole, near - whole)
+    assert {r["doc_id"]: (set(r["items"]), set(r["near_items"])) for r in found.collect()} == expected
+    assert sum(len(n) for _, n in expected.values()) >= 5 and all(n <= {str(k) for k in range(6)} for _, n in expected.values())
+    for r in found.collect():
+        assert all(0 <= a < b <= r["n_words"] for a, b in r["near_runs"])
+
+
 @pytest.mark.parametrize("source", ["documents", "odd"])
 def test_personal_data(request, source):
     docs = request.getfixturevalue(source)
