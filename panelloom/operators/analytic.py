@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelloom.contract import SCHOOL_RATES, Contract, Dimension
 from panelloom.functions import hashing
 from panelloom.functions.numbers import within_range
-from panelloom.operators.catalog import LAYOUTS, METRICS, alias_map
+from panelloom.operators.catalog import CATALOGUE_COLUMNS, LAYOUTS, METRICS, alias_map, match_catalogue
 
 
 def fact_columns(contract: Contract = SCHOOL_RATES) -> list[str]:
@@ -53,6 +53,46 @@ def harmonise_metrics(columns: Iterable[str], year: str) -> dict[str, str]:
     return expressions
 
 
+def rate_rows(history: DataFrame, keys: Iterable[str], contract: Contract = SCHOOL_RATES) -> DataFrame:
+    """Long form: ``keys`` with `alias` and `valor`, one row per rate that has a value.
+
+    A row without any rate stays, as one row whose alias is NULL.
+    """
+    rates = [F.struct(F.lit(c).alias("alias"), F.col(f"`{c}`").alias("valor")) for c in contract.rates(history.columns)]
+    given = F.filter(F.array(*rates), lambda r: r["valor"].isNotNull()) if rates else F.lit(None).cast("array<struct<alias string, valor double>>")
+    return history.select(*keys, F.explode_outer(given).alias("r")).select(*keys, "r.alias", "r.valor")
+
+
+def metrics_by_catalogue(history: DataFrame, catalogue: DataFrame, contract: Contract = SCHOOL_RATES) -> DataFrame:
+    """Year, entity and metrics by a join with catalogue rows instead of ``harmonise_metrics``, pivoted back.
+
+    It follows any catalogue, also a stored or altered one, and so holds the published columns against the
+    published catalogue.  Rates that no entry names in their year bring nothing, values out of range become NULL,
+    a row without rates stays.  Year and entity have to identify a row, as the gate asks; of repeated ones the
+    highest value is given.  The rates of a row leave one task, so that the partial aggregate merges them before
+    the one shuffle, which is as wide as the fact; `pivot` would first shuffle the long rows by metric.
+    """
+    keys = [contract.year, contract.entity]
+    rates = rate_rows(history.where(F.col(contract.entity).isNotNull()), keys, contract)
+    rates = rates.withColumn("valor", F.expr(within_range("valor", contract.lowest, contract.highest)))
+    found = match_catalogue(rates, catalogue, contract.year, "alias", "left")
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("coluna_analitica") == m, F.col("valor"))).alias(m) for m in METRICS])
+
+
+def catalogue_coverage(history: DataFrame, catalogue: DataFrame, contract: Contract = SCHOOL_RATES) -> DataFrame:
+    """Each catalogue row with the years, values and bounds of what the history holds for it; unused rows count 0.
+
+    Values are merged per year and alias, a table of years times aliases, before the intervals are joined.
+    """
+    year = contract.year
+    rates = rate_rows(history, [year], contract).groupBy(year, "alias").agg(
+        F.count("valor").alias("n"), F.min("valor").alias("menor"), F.max("valor").alias("maior"))
+    used = match_catalogue(rates, catalogue, year, "alias").groupBy("codigo_original", "ano_inicio").agg(
+        F.count_distinct(year).alias("anos"), F.sum("n").alias("valores"), F.min("menor").alias("menor"), F.max("maior").alias("maior"))
+    return catalogue.join(used, ["codigo_original", "ano_inicio"], "left").select(
+        *CATALOGUE_COLUMNS, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("anos", "valores")], "menor", "maior")
+
+
 def with_content_id(rows: DataFrame, dimension: Dimension) -> DataFrame:
     return hashing.with_content_id(rows, dimension.attributes, dimension.id)
 

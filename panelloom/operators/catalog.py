@@ -79,7 +79,7 @@ def metric_catalogue(spark: SparkSession) -> DataFrame:
         F.lit(NOTE).alias("observacao"))
 
 
-def match_catalogue(rows: DataFrame, catalogue: DataFrame, year: str, alias: str) -> DataFrame:
+def match_catalogue(rows: DataFrame, catalogue: DataFrame, year: str, alias: str, how: str = "inner") -> DataFrame:
     """Long-form rows joined to the catalogue row of their alias valid in their year.
 
     Equality on the alias keeps it a hash join; the optimizer knows the catalogue's size.
@@ -87,7 +87,7 @@ def match_catalogue(rows: DataFrame, catalogue: DataFrame, year: str, alias: str
     entry = catalogue
     on = ((rows[alias] == entry["codigo_original"])
           & rows[year].between(entry["ano_inicio"], entry["ano_fim"]))
-    return rows.join(entry, on, "inner")
+    return rows.join(entry, on, how)
 
 
 def column_differences(columns: Iterable[str], year: int, contract: Contract = SCHOOL_RATES) -> dict[str, str]:

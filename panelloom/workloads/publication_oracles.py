@@ -150,6 +150,21 @@ def _broken(entry: str, lines: str, rule: str, detail: str) -> str:
     return f"SELECT '{entry}' AS entrada, {lines} AS linhas, {rule} AS regra, {detail} AS detalhe"
 
 
+# Every rate per year, then per catalogue row; details are spelt out from the metric's name.
+_PER_YEAR = " UNION ALL ".join(f"SELECT y, '{m}' AS metric, count({_cut(j)}) AS n, min({_cut(j)}) AS low, max({_cut(j)}) AS high FROM hist GROUP BY y"
+                               for j, m in enumerate(METRICS))
+_COVERAGE = f"""{ROWS}, per_year AS ({_PER_YEAR}), entries(a, b, alias, metric) AS (VALUES {_CATALOGUE}),
+    named AS (
+        SELECT *, CASE left(metric, 3) WHEN 'tap' THEN 'aprovacao' WHEN 'tre' THEN 'reprovacao' ELSE 'abandono' END AS kind,
+            CASE substring(metric, 5, 3) WHEN 'fun' THEN 'ensino_fundamental' ELSE 'ensino_medio' END AS stage,
+            CASE substring(metric, 9) WHEN '' THEN 'total' WHEN 'ai' THEN 'anos_iniciais' WHEN 'af' THEN 'anos_finais' WHEN 'ns' THEN 'nao_seriado'
+                ELSE substring(metric, 9) END AS detail FROM entries)
+    SELECT alias AS codigo_original, named.metric AS coluna_analitica, CAST(a AS BIGINT) AS ano_inicio, CAST(b AS BIGINT) AS ano_fim, kind AS tipo_taxa,
+        stage AS etapa_ensino, detail AS detalhamento, 'Percentual de ' || kind || ': ' || stage || ', ' || detail AS descricao,
+        'Séries/anos de 8 e 9 anos conforme cabeçalho da fonte; não somar recortes.' AS observacao, count(DISTINCT y) FILTER (WHERE n > 0) AS anos,
+        CAST(coalesce(sum(n), 0) AS BIGINT) AS valores, CAST(min(low) AS DOUBLE) AS menor, CAST(max(high) AS DOUBLE) AS maior
+    FROM named LEFT JOIN per_year ON per_year.metric = named.metric AND y BETWEEN a AND b GROUP BY ALL"""
+
 _ORDERS, _CUSTOMERS = "(SELECT count(*) FROM orders)", "(SELECT count(*) FROM customer)"
 _INPUTS = " UNION ALL ".join([
     _broken("a/taxas_rendimento_2007.parquet", _ORDERS, "NULL", "NULL"),
@@ -173,6 +188,8 @@ ORACLES = {
     "consolidation_report": _REPORT,
     "schema_registry": f"""SELECT artefato, coluna, tipo FROM (VALUES {_COLUMNS}) AS c(artefato, coluna, tipo) WHERE artefato <> 'taxas'
         UNION ALL SELECT 'taxas/ano=' || y, coluna, tipo FROM (VALUES {_COLUMNS}) AS c(artefato, coluna, tipo), ({_YEARS}) WHERE artefato = 'taxas'""",
+    "metrics_by_catalogue": f"{_star()} SELECT ano, co_entidade, {', '.join(METRICS)} FROM fact",
+    "catalogue_coverage": _COVERAGE,
     "pruned_fact": f"""{_star()}, years AS (SELECT year(o_orderdate) + 20 AS ano FROM orders GROUP BY 1 HAVING 5 * count(*) FILTER (WHERE o_orderpriority = '1-URGENT') > count(*))
         SELECT ano, dependad, count(*) AS linhas, max(tap_fun) AS maior, count(tre_med) AS taxas FROM fact WHERE ano IN (SELECT ano FROM years) GROUP BY ano, dependad""",
     "replaced_years": f"""{_star()} SELECT ano, CASE WHEN ano IN (2015, 2018) THEN upper(dependad) ELSE dependad END AS dependad, tipoloca, count(*) AS linhas,

@@ -88,3 +88,62 @@ def test_column_differences_add_up():
 def test_year_gaps(spark, years, gaps):
     frame = spark.createDataFrame([(y,) for y in years], "ano int")
     assert {r.ano for r in catalog.year_gaps(frame, "ano").where(F.col("ano").isNotNull()).collect()} == gaps
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def wide(spark):
+    """One row per year of every layout, with all aliases of all layouts as columns; only those of its own year count."""
+    aliases = sorted(set().union(*(catalog.alias_map(y) for y in YEARS)))
+    rows = [(y, f"{y:08d}", *[float((y * 31 + i * 7) % 131) if (y + i) % 5 else None for i in range(len(aliases))], 7.0) for y in (2006, *YEARS, 2026)]
+    rows += [(2016, "90000001", *[None] * (len(aliases) + 1)), (2016, None, *[50.0] * (len(aliases) + 1)),
+             (None, "90000002", *[50.0] * (len(aliases) + 1)), (2016, "90000003", *[float("nan"), float("inf"), -1.0] * (len(aliases) // 3), *[0.0] * (len(aliases) % 3 + 1))]
+    return spark.createDataFrame(rows, ", ".join(["ano int", "co_entidade string", *[f"`{a}` double" for a in aliases], "tap_nova double"]))
+
+
+def test_the_join_with_the_catalogue_equals_the_choice_by_year(spark):
+    history = wide(spark)
+    found = analytic.metrics_by_catalogue(history, catalog.metric_catalogue(spark))
+    chosen = history.where("co_entidade IS NOT NULL").selectExpr("ano", "co_entidade", *[
+        f"CASE WHEN ({e}) BETWEEN 0 AND 100 THEN ({e}) END AS {m}" for m, e in analytic.harmonise_metrics(history.columns, "ano").items()])
+    expected = {tuple(r) for r in chosen.collect()}
+    assert found.columns == chosen.columns and {tuple(r) for r in found.collect()} == expected
+    assert len(expected) == len(YEARS) + 5
+    assert any(v is not None for r in expected for v in r[2:]) and {r[1] for r in expected} >= {"90000001", "90000002", "90000003"}
+
+
+def test_the_join_follows_an_altered_catalogue(spark):
+    history = spark.createDataFrame([(2016, "00000001", 10.0, 20.0)], "ano int, co_entidade string, tap_f14 double, tap_x double")
+    altered = catalog.metric_catalogue(spark).withColumn("codigo_original", F.when(F.col("codigo_original") == "tap_f14", "tap_x").otherwise(F.col("codigo_original")))
+    assert analytic.metrics_by_catalogue(history, altered).first().tap_fun_ai == 20.0
+    assert analytic.metrics_by_catalogue(history, catalog.metric_catalogue(spark)).first().tap_fun_ai == 10.0
+
+
+def test_without_rates_or_rows(spark):
+    bare = spark.createDataFrame([(2016, "00000001")], "ano int, co_entidade string")
+    row = analytic.metrics_by_catalogue(bare, catalog.metric_catalogue(spark)).first()
+    assert row.co_entidade == "00000001" and not any(row[m] is not None for m in catalog.METRICS)
+    assert analytic.metrics_by_catalogue(wide(spark).where("false"), catalog.metric_catalogue(spark)).count() == 0
+    coverage = analytic.catalogue_coverage(bare, catalog.metric_catalogue(spark))
+    assert coverage.count() == 270 and coverage.where("valores > 0 OR anos > 0").count() == 0
+
+
+def test_coverage_counts_each_entry_in_its_years(spark):
+    history = wide(spark)
+    rows = [r.asDict() for r in history.collect()]
+    for entry in analytic.catalogue_coverage(history, catalog.metric_catalogue(spark)).collect():
+        held = [(r["ano"], r[entry.codigo_original]) for r in rows
+                if r["ano"] is not None and entry.ano_inicio <= r["ano"] <= entry.ano_fim and r[entry.codigo_original] is not None]
+        assert (entry.anos, entry.valores) == (len({y for y, _ in held}), len(held)), entry
+        if entry.ano_inicio not in (2015,) and held:
+            assert (entry.menor, entry.maior) == (min(v for _, v in held), max(v for _, v in held))
+
+
+def test_the_pivot_shuffles_once_after_merging(spark, tmp_path):
+    wide(spark).write.parquet(str(tmp_path / "h"))
+    catalog.metric_catalogue(spark).write.parquet(str(tmp_path / "c"))
+    text = plan(analytic.metrics_by_catalogue(spark.read.parquet(str(tmp_path / "h")), spark.read.parquet(str(tmp_path / "c"))))
+    assert text.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in text
+    assert "NestedLoop" not in text and "SortAggregate" not in text and "Python" not in text
