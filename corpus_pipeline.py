@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.llm import classifier, decontaminate, mixing, near_dedup, sharding
-from panelloom.llm.common import keep_table, table
+from panelloom.llm.common import keep_table, marked, table
 
 SHARDS = 40
 ROW = "_row_content"
@@ -55,8 +55,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     row = F.unhex(F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.coalesce("text", F.lit(""))), 256))
     named = held.withColumn(ROW, row)
     found = decontaminate.search(named.select(F.col(ROW).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    hit = found.where(F.size("items") > 0).select(F.col("doc_id").alias(ROW)).distinct()
-    return _given(named.join(hit, ROW, "left_anti"), docs)
+    hit = keep_table(found.where(F.size("items") > 0).select(F.col("doc_id").alias(ROW)).distinct(), "pipeline-hit")
+    seen = marked(named, hit, ROW, _hit=F.lit(True))
+    return _given(seen.where("NOT _hit"), docs).unionAll(_given(seen.where("_hit").join(hit, ROW, "left_anti"), docs))
 
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

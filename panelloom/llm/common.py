@@ -130,6 +130,20 @@ def is_member(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return (bits[numbers >> 6] >> (numbers & 63)) & 1 == 1
 
 
+def marked(rows: DataFrame, names: DataFrame, key: str, **marks: Column) -> DataFrame:
+    """``rows`` with a boolean for each of ``marks``, conditions on ``names``: False where no such name is the row's binary digest ``key``.
+
+    True can be wrong, so an exact join must follow, but only of the rows marked: an exact join of all would shuffle
+    wide rows that it has nothing to say about.  What is broadcast is a bit set of fixed size per mark (1 MB).
+    """
+    told = names.select(digest_bit(key).alias("_bit"), *[c.alias(name) for name, c in marks.items()])
+    own = F.expr("shiftleft(1L, cast(_bit % 64 as int))")
+    words = told.groupBy(F.shiftright("_bit", 6).alias("_word")).agg(*[F.bit_or(F.when(F.col(name), own)).alias(name) for name in marks])
+    found = rows.withColumn("_bit", digest_bit(key)).withColumn("_word", F.shiftright("_bit", 6)).join(F.broadcast(words), "_word", "left")
+    is_set = {name: F.coalesce(F.col(name).bitwiseAND(own) != 0, F.lit(False)) for name in marks}
+    return found.select(*[F.col(f"`{c}`") for c in rows.columns], *[c.alias(name) for name, c in is_set.items()])
+
+
 def connected_components(edges: DataFrame, name: str) -> DataFrame:
     """(node, component) of undirected ``edges`` (a, b); a component is named by its smallest node.
 

@@ -19,6 +19,8 @@ LEAST_IN_SLICE = 64
 # From so many documents on, what a very long document leaves over goes to others of its source.
 MANY = 16
 MADE = ("size", "source_size", "target", "taken")
+# Up to so many rows about slices or single documents, a join with whole documents broadcasts them.
+FEW = 100_000
 
 
 def word_count(text: str) -> Column:
@@ -126,9 +128,46 @@ def whole_copies(docs: DataFrame, carried: Sequence[str] = ("doc_id",), block: i
     source of MANY documents still has words left over or short, its other documents no longer than that
     get copies more or fewer, one in each turn of a tape through its slices, none above ``repeats``.  A
     text without words stays once.
+
+    All this is decided on rows without the carried columns.  Along its tape a slice takes each document once more up to
+    some place than from there on, so the documents themselves are told their copies by one row per slice and one for
+    each document that rounding moved, and are not shuffled for it.
     """
     plain = _plain(carried)
-    placed = _mixed(docs, plain, block, slices, seed, repeats, weights, size)
+    spot = F.struct("_draw", "_id", "size").alias("_spot")
+    counted = _copies(_mixed(docs, [], block, slices, seed, repeats, weights, size), repeats)
+    told = keep_table(counted.select("_source", "_piece", "_slice", spot, "size", "_whole", "copies"), "mix-copies")
+    lows = told.where("size > 0").withColumn("_low", F.min("_whole").over(Window.partitionBy("_source", "_slice"))).where("_whole = _low")
+    cuts = lows.groupBy("_source", "_slice").agg(F.first("_low").alias("_low"), F.min("_spot").alias("_cut"))
+    pieces = keep_table(told.select("_source", "_piece", "_slice").distinct().join(cuts, ["_source", "_slice"], "left").drop("_slice"), "mix-cuts")
+    usual = F.when(F.col("size") > 0, F.col("_low") + F.when(F.col("_spot") < F.col("_cut"), 1).otherwise(0)).otherwise(1).cast("int")
+    moved = (told.join(_few(pieces), ["_source", "_piece"]).groupBy("_source", "_spot")
+             .agg(F.min("copies").alias("_least"), F.max("copies").alias("_most"), F.first(usual).alias("_usual"))
+             .where("_least <> _usual OR _most <> _usual").drop("_usual"))
+    moved = keep_table(moved, "mix-moved")
+    rows = (_rows(docs, plain, slices, seed, size).withColumn("_spot", spot).join(_few(pieces), ["_source", "_piece"])
+            .join(_few(moved), ["_source", "_spot"], "left"))
+    alike = moved.where("_least < _most").select("_source", "_spot")
+    direct = rows.select(*plain, F.coalesce("_least", usual).alias("copies"), (F.col("_least") < F.col("_most")).alias("_alike"))
+    if alike.isEmpty():
+        return direct.drop("_alike")
+    # Rows alike in id and size of which some take more copies than others are numbered, and dealt them in turn.
+    shares = told.join(alike, ["_source", "_spot"], "left_semi").groupBy("_source", "_spot", "copies").agg(F.count(F.lit(1)).alias("_n"))
+    last = F.sum("_n").over(Window.partitionBy("_source", "_spot").orderBy(F.desc("copies")))
+    shares = keep_table(shares.select("_source", "_spot", "copies", (last - F.col("_n")).alias("_after"), last.alias("_last")), "mix-alike")
+    number = F.row_number().over(Window.partitionBy("_source", "_spot").orderBy(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in plain])))
+    dealt = rows.where("_least < _most").withColumn("_number", number).join(shares, ["_source", "_spot"])
+    dealt = dealt.where("_number > _after AND _number <= _last").select(*plain, "copies")
+    return direct.where("_alike IS NOT TRUE").drop("_alike").unionByName(dealt)
+
+
+def _few(rows: DataFrame) -> DataFrame:
+    """Broadcast by the join that it goes into, unless it has many rows."""
+    return F.broadcast(rows) if rows.limit(FEW + 1).count() <= FEW else rows
+
+
+def _copies(placed: DataFrame, repeats: int) -> DataFrame:
+    """Adds `copies` to the rows of ``_mixed``, and `_whole`, how many times the tape covers all of a document."""
     narrow = keep_table(placed.select("_source", "_slice", "size", "taken", "_docs"), "mix-parts")
     cut = (F.col("size") > 0) & (F.col("taken") % F.greatest("size", F.lit(1)) > 0)
     ends = (narrow.where(cut).groupBy("_source", "_docs")
@@ -157,7 +196,7 @@ def whole_copies(docs: DataFrame, carried: Sequence[str] = ("doc_id",), block: i
     middle = {k: F.col(f"_before{k}") + F.sum(given[k]).over(along()) - F.col("size") / 2 for k in turns}
     moved = sum(F.when((room >= k) & (middle[k] <= F.abs("_left")), F.signum("_left")).otherwise(0) for k in turns)
     copies = F.floor(F.col("taken") / F.col("size")) + F.when(cut & F.col("_more"), 1).otherwise(0) + moved
-    return told.select(*plain, F.when(F.col("size") > 0, copies).otherwise(1).cast("int").alias("copies"))
+    return told.withColumns({"_whole": whole, "copies": F.when(F.col("size") > 0, copies).otherwise(1).cast("int")})
 
 
 def along() -> Window:
@@ -171,14 +210,19 @@ def _plain(carried: Sequence[str]) -> list[str]:
 
 def _mixed(docs: DataFrame, plain: list[str], block: int, slices: int, seed: int, repeats: int, weights: int, size: Column | None) -> DataFrame:
     """The ``plain`` columns with those of MADE and, for further steps, source, slice, order and the source's documents with words."""
+    rows = keep_table(_rows(docs, plain, slices, seed, size), "mix-rows")
+    pieces = keep_table(rows.groupBy("_source", "_piece").agg(F.sum("size").alias("piece_size"), F.count_if(F.col("size") > 0).alias("_docs")), "mix-slices")
+    return _placed(rows, pieces, plain, block, slices, repeats, weights)
+
+
+def _rows(docs: DataFrame, plain: list[str], slices: int, seed: int, size: Column | None) -> DataFrame:
+    """The ``plain`` columns with size, source, piece of it and place on its tape."""
     size = word_count("text") if size is None else size
     rows = docs.select(*plain, F.col("doc_id").alias("_id"), size.alias("size"),
                        # A struct keeps NULL a source of its own, after all names.
                        F.struct(F.col("source").isNull().alias("missing"), F.coalesce("source", F.lit("")).alias("name")).alias("_source"),
                        F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_draw"))
-    rows = keep_table(rows.withColumn("_piece", F.pmod(F.col("_draw"), F.lit(slices))), "mix-rows")
-    pieces = keep_table(rows.groupBy("_source", "_piece").agg(F.sum("size").alias("piece_size"), F.count_if(F.col("size") > 0).alias("_docs")), "mix-slices")
-    return _placed(rows, pieces, plain, block, slices, repeats, weights)
+    return rows.withColumn("_piece", F.pmod(F.col("_draw"), F.lit(slices)))
 
 
 def _placed(rows: DataFrame, pieces: DataFrame, plain: list[str], block: int, slices: int, repeats: int, weights: int) -> DataFrame:
@@ -200,4 +244,4 @@ def _placed(rows: DataFrame, pieces: DataFrame, plain: list[str], block: int, sl
     rest = F.col("_words") - rounds * F.col("slice_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - (F.col("_end") - F.col("size"))))
     return placed.select(*plain, "size", "source_size", "target", (rounds * F.col("size") + part).cast("long").alias("taken"),
-                         "_source", "_slice", "_draw", "_id", "_docs")
+                         "_source", "_piece", "_slice", "_draw", "_id", "_docs")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import (connected_components, gapless_rank, hashes, id_bit, in_arrow, is_member, keep_table, member_bits, mixed,
+from panelloom.llm.common import (connected_components, gapless_rank, hashes, id_bit, in_arrow, is_member, keep_table, marked, member_bits, mixed,
                                   record, shingle_hashes, table, text_chunks)
 
 SHINGLE, PERCENT = 5, 75
@@ -239,14 +239,18 @@ def distinct_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     and of its rows the one with that id; of rows with one id and text the least by all columns.  So no
     text is lost through an id that other texts have too.  Rows without words are nobody's duplicate,
     but of rows with one id and text one stays.  An empty table stays empty; no column name is reserved.
+    Whole rows are shuffled only where they may go or be repeated, and a few that a bit set cannot tell from them.
     """
     held = _held(docs)
     rows = classes(held.select("doc_id", "text", "_name"), percent, "_name").select("doc_id", F.col("row").alias("_name"), "node", "component", "own_id")
     stays = F.when(F.col("node").isNull(), True).otherwise((F.col("node") == F.col("component")) & F.col("doc_id").eqNullSafe(F.col("own_id")))
     told = keep_table(rows.groupBy("_name").agg(F.count(F.lit(1)).alias("_times"), F.min(stays).alias("_stays")).where("_times > 1 OR NOT _stays"), "dedup-told")
-    once = held.join(told.select("_name"), "_name", "left_anti").select("_row")
-    several = held.join(told.where("_stays").select("_name"), "_name", "left_semi").groupBy("_name").agg(F.min("_row").alias("_row")).select("_row")
-    return _given(once.unionByName(several), docs)
+    held = marked(held, told, "_name", _told=F.lit(True), _several=F.col("_stays"))
+    alone = held.where("NOT _told").select("_row")
+    once = held.where("_told").join(told.select("_name"), "_name", "left_anti").select("_row")
+    several = (held.where("_several").join(told.where("_stays").select("_name"), "_name", "left_semi")
+               .groupBy("_name").agg(F.min("_row").alias("_row")).select("_row"))
+    return _given(alone.unionByName(once).unionByName(several), docs)
 
 
 def _held(docs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import __spark_entry__ as entry
 import corpus_pipeline
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from panelloom.llm import classifier, decontaminate, mixing, near_dedup
@@ -96,3 +97,47 @@ def test_odd_rows_and_names_in_every_stage(spark):
                 assert {tuple(r) for r in rows} <= {tuple(r) for r in docs.collect()}
             else:
                 assert {"shard", "size", "input_size", "input_slot"} <= set(after.columns) and len(rows) == frame.count()
+
+
+def shuffled_bytes(frame):
+    """What the shuffles of a frame's final plan write."""
+    frame.collect()
+    plans, found = [frame._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        plan = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "ShuffleExchangeExec":
+            found += plan.metrics().apply("dataSize").value()
+        inner = {"AdaptiveSparkPlanExec": "executedPlan", "ResultQueryStageExec": "plan", "ShuffleQueryStageExec": "plan", "BroadcastQueryStageExec": "plan"}.get(kind)
+        children = plan.children()
+        plans += [getattr(plan, inner)()] if inner else [children.apply(i) for i in range(children.size())]
+    return found
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.distinct_texts, corpus_pipeline.without_benchmark, corpus_pipeline.target_mix])
+def test_whole_texts_are_not_shuffled(spark, stage, tmp_path):
+    rows = [(i, " ".join(f"{(0 if i % 20 == 1 else i)}x{j}" for j in range(2000)), None, f"s{i % 3}") for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert shuffled_bytes(stage(spark, docs, FOLDER)) < 0.25 * sum(len(r[1]) for r in rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("ids", [lambda i: i, lambda i: None, lambda i: i // 50])
+def test_whole_copies_are_those_of_the_tape(spark, ids):
+    """Copies of documents against those decided row by row, for ids that are unique, missing and repeated."""
+    rows = [(ids(i), " ".join(["w"] * (0 if i % 31 == 0 else 5 + i * i % 90)), "abc"[i % 3] if i % 5 else None, i) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n long").repartition(3)
+    found = mixing.whole_copies(docs, carried=["n", "source", "doc_id", "text"]).toPandas()
+    assert sorted(found["n"]) == list(range(1500))
+    narrow = mixing._copies(mixing._mixed(docs, [], mixing.BLOCK, mixing.SLICES, mixing.SEED, mixing.MOST_REPEATS, mixing.WEIGHTS, None), mixing.MOST_REPEATS)
+    wanted = narrow.selectExpr("_source.name AS source", "_id AS doc_id", "size", "copies").toPandas()
+    found = found.assign(size=found["text"].str.split().str.len(), source=found["source"].fillna(""))
+    for frame in (found, wanted):
+        frame["doc_id"] = frame["doc_id"].fillna(-1).astype(int)
+    listed = [sorted(map(tuple, f[["source", "doc_id", "size", "copies"]].astype({"size": int, "copies": int}).values.tolist())) for f in (found, wanted)]
+    assert listed[0] == listed[1] and len({row[3] for row in listed[0]}) > 1
