@@ -69,14 +69,24 @@ def metrics_by_catalogue(history: DataFrame, catalogue: DataFrame, contract: Con
     It follows any catalogue, also a stored or altered one, and so holds the published columns against the
     published catalogue.  Rates that no entry names in their year bring nothing, values out of range become NULL,
     a row without rates stays.  Year and entity have to identify a row, as the gate asks; of repeated ones the
-    highest value is given.  The rates of a row leave one task, so that the partial aggregate merges them before
-    the one shuffle, which is as wide as the fact; `pivot` would first shuffle the long rows by metric.
+    highest value is given.  The catalogue is joined with the history's years and rates, a table of years times
+    aliases; a row meets what that found for its year, so that it takes each metric's rates by their places instead of
+    holding each of its rates against every metric.  The one shuffle is as wide as the fact.
     """
-    keys = [contract.year, contract.entity]
-    rates = rate_rows(history.where(F.col(contract.entity).isNotNull()), keys, contract)
-    rates = rates.withColumn("valor", F.expr(within_range("valor", contract.lowest, contract.highest)))
-    found = match_catalogue(rates, catalogue, contract.year, "alias", "left")
-    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("coluna_analitica") == m, F.col("valor"))).alias(m) for m in METRICS])
+    year, rates = contract.year, contract.rates(history.columns)
+    keys = [year, contract.entity]
+    given = F.array(*[F.expr(within_range(f"`{c}`", contract.lowest, contract.highest)) for c in rates]) if rates else F.array().cast("array<double>")
+    rows = history.where(F.col(contract.entity).isNotNull()).select(*keys, given.alias("_taxas"))
+    names = F.lit(rates).cast("array<string>") if rates else F.array().cast("array<string>")
+    # The years come together in one task, which then needs no shuffle to group what the catalogue has for them.
+    years = rows.agg(F.collect_set(year).alias("_anos")).select(F.explode("_anos").alias(year))
+    aliases = years.select(year, F.posexplode(names).alias("_lugar", "alias"))
+    found = match_catalogue(aliases, F.broadcast(catalogue), year, "alias").groupBy(year).agg(
+        *[F.collect_list(F.when(F.col("coluna_analitica") == m, F.col("_lugar"))).alias(f"_{m}") for m in METRICS])
+    # A row per year: it goes to every task.
+    placed = rows.join(F.broadcast(found), year, "left")
+    taken = placed.select(*keys, *[F.expr(f"array_max(transform(`_{m}`, p -> get(_taxas, p)))").alias(m) for m in METRICS])
+    return taken.groupBy(*keys).agg(*[F.max(m).alias(m) for m in METRICS])
 
 
 def catalogue_coverage(history: DataFrame, catalogue: DataFrame, contract: Contract = SCHOOL_RATES) -> DataFrame:

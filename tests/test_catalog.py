@@ -147,3 +147,14 @@ def test_the_pivot_shuffles_once_after_merging(spark, tmp_path):
     text = plan(analytic.metrics_by_catalogue(spark.read.parquet(str(tmp_path / "h")), spark.read.parquet(str(tmp_path / "c"))))
     assert text.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in text
     assert "NestedLoop" not in text and "SortAggregate" not in text and "Python" not in text
+
+
+def test_metrics_meet_the_catalogue_by_year(spark):
+    """Repeated keys give the highest value, values out of range none; rates are joined per year, not per row."""
+    history = spark.createDataFrame([(2015, "1", 10.0, 30.0), (2015, "1", 20.0, 101.0), (2018, "1", 10.0, 30.0), (2018, None, 1.0, 1.0), (None, "2", 1.0, 1.0)],
+                                    "ano int, co_entidade string, tap_f58 double, tap_f04 double")
+    found = analytic.metrics_by_catalogue(history, catalog.metric_catalogue(spark))
+    assert {(r.ano, r.co_entidade): (r.tap_fun_af, r.tap_fun_01, r.tap_fun_04, r.tap_fun_05) for r in found.collect()} == {
+        (2015, "1"): (20.0, None, None, 30.0), (2018, "1"): (30.0, 10.0, None, None), (None, "2"): (None, None, None, None)}
+    # Each row used to become one row per rate.
+    assert "AS alias, tap_f58" not in plan(found) and "posexplode([tap_f04,tap_f58])" in plan(found)
